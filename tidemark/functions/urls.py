@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -16,20 +17,8 @@ def scheme(url: Column) -> Column:
 
 def host(url: Column) -> Column:
     """Lower-case host without user info and port; empty when there is none."""
-    authority = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
-    authority = F.regexp_replace(authority, r"^.*@", "")
-    bracketed = F.regexp_extract(authority, r"^\[([^\]]*)\]", 1)
-    plain = F.regexp_replace(authority, r":.*$", "")
-    return F.lower(F.when(bracketed != "", bracketed).otherwise(plain))
-
-
-def _parents(name: Column) -> Column:
-    """Every domain that ``name`` is a strict subdomain of."""
-    labels = F.split(name, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda start: F.array_join(F.slice(labels, start + 1, F.size(labels)), "."),
-    )
+    pattern = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(?:\[([^\]/?#]*)\]|([^:/?#]*))"
+    return F.lower(F.concat(F.regexp_extract(url, pattern, 1), F.regexp_extract(url, pattern, 2)))
 
 
 def read_allowed(lines: Iterable[str]) -> list[str]:
@@ -45,18 +34,15 @@ def is_allowed(url: Column, allowed: Iterable[str]) -> Column:
     goes into the expression and the check needs no join.
     """
     entries = sorted(set(allowed))
-    value = F.trim(F.regexp_replace(url, r"^\s+|\s+$", ""))
+    value = F.regexp_replace(url, r"^\s+|\s+$", "")
     hosts = [entry for entry in entries if "://" not in entry]
-    suffixes = [entry[2:] for entry in hosts if entry.startswith("*.")]
-    name = host(value)
-    by_host = name.isin(hosts) if hosts else F.lit(False)
-    if suffixes:
-        by_host = by_host | F.arrays_overlap(
-            _parents(name), F.array(*[F.lit(suffix) for suffix in suffixes])
-        )
+    exact = [re.escape(entry) for entry in hosts]
+    below = [r".*\." + re.escape(entry[2:]) for entry in hosts if entry.startswith("*.")]
+    named = F.lit(False)
+    if hosts:
+        named = scheme(value).isin("http", "https") & host(value).rlike(f"^(?s:{'|'.join(exact + below)})$")
     literal = value.isin(entries) if entries else F.lit(False)
-    by_host = scheme(value).isin("http", "https") & (name != "") & by_host
-    return F.coalesce((value != "") & (literal | by_host), F.lit(False))
+    return F.coalesce((value != "") & (literal | named), F.lit(False))
 
 
 def join_url(base: Column, link: Column) -> Column:

@@ -40,13 +40,21 @@ def values_at(value: Column, steps: tuple) -> Column:
     return F.coalesce(elements, F.array().cast("array<variant>"))
 
 
-def kind(value: Column) -> Column:
-    """``object``, ``array``, ``null``, ``boolean``, ``bigint``, ``double`` or ``text``.
+def is_object(value: Column) -> Column:
+    return get(value, (), "map<string,variant>").isNotNull()
+
+
+def is_array(value: Column) -> Column:
+    return get(value, (), "array<variant>").isNotNull()
+
+
+def kind_of(schema: Column) -> Column:
+    """Kind for the schema text of a variant: ``object``, ``array``, ``null``, ``boolean``,
+    ``bigint``, ``double`` or ``text``; NULL when there is no value.
 
-    NULL when there is no value. A whole number beyond 64 bits is ``bigint`` too, so that
-    reading it fails instead of losing digits.
+    A whole number beyond 64 bits is ``bigint`` too, so that reading it fails instead of
+    losing digits.
     """
-    schema = F.schema_of_variant(value)
     return (
         F.when(schema == "STRING", "text")
         .when(schema == "BIGINT", "bigint")
@@ -59,6 +67,11 @@ def kind(value: Column) -> Column:
     )
 
 
+def kind(value: Column) -> Column:
+    """:func:`kind_of` a value; for hot paths select the schema text as a column first."""
+    return kind_of(F.schema_of_variant(value))
+
+
 def truthy(value: Column) -> Column:
     """False for no value, null, false, zero, '' and empty objects and arrays."""
     schema = F.schema_of_variant(value)

@@ -6,6 +6,7 @@ rows point at their parent. Input is ``(root_index BIGINT, rec VARIANT)``.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import names
 from ..functions.values import double_text, json_string, uuid_text
-from ..functions.variants import EACH, get, kind, values_at
+from ..functions.variants import EACH, get, is_array, is_object, kind, values_at
 from .shape import MAX_PATHS, Shape, discover
 
 SPARK_TYPES = {
@@ -32,23 +33,40 @@ _FALSE = ("f", "false", "n", "no", "off", "0")
 
 @dataclass(frozen=True)
 class Cell:
-    """A path that feeds a column; ``holds`` is False where only nulls can be cells."""
+    """A path that feeds a column.
+
+    ``holds`` is False where only nulls can be cells, ``mixed`` is True where structure was
+    seen too.
+    """
 
     path: tuple
     holds: bool
+    mixed: bool
 
     def of(self, value: Column) -> Column:
         return get(value, self.path) if self.path else value
 
-    def kind(self, value: Column) -> Column:
-        """Kind of the cell in ``value``, NULL when it is structure or not there."""
+    def schema(self, value: Column) -> Column:
+        """Schema text of the cell in ``value``, NULL when it is structure or not there."""
         found = self.of(value)
         if not self.holds:
-            return F.when(F.is_variant_null(found), "null")
-        found_kind = kind(found)
+            return F.when(F.is_variant_null(found), "VOID")
+        if not self.mixed:
+            return F.schema_of_variant(found)
         if self.path:
-            return F.when(~found_kind.isin("object", "array"), found_kind)
-        return F.when(found_kind == "array", "text").when(found_kind != "object", found_kind)
+            return F.when(~(is_object(found) | is_array(found)), F.schema_of_variant(found))
+        # An element that is an array is a cell: it is kept as its JSON text.
+        return F.when(is_array(found), "STRING").when(~is_object(found), F.schema_of_variant(found))
+
+
+def _column_type(schema: str) -> str:
+    """Column type for the schema text of its first value."""
+    if schema in ("STRING", "VOID"):
+        return "text"
+    if schema in ("BIGINT", "BOOLEAN"):
+        return schema.lower()
+    # A whole number beyond 64 bits: storing it will fail instead of losing digits.
+    return "bigint" if re.fullmatch(r"DECIMAL\((19|2\d|3\d),0\)", schema) else "double"
 
 
 @dataclass
@@ -81,7 +99,7 @@ def table_shapes(source: str, shape: Shape) -> dict[str, TableShape]:
 
     def add(table: str, node: Shape, steps: tuple, parent: Feed | None) -> None:
         # A record or element that is not an object is kept as "value".
-        own = Cell((), node.scalar or node.element is not None)
+        own = Cell((), node.scalar or node.element is not None, True)
         feed = Feed(table, steps, parent, {"value": [own]})
         tables.setdefault(table, TableShape(table)).feeds.append(feed)
         fields(node, (), "", feed)
@@ -91,7 +109,9 @@ def table_shapes(source: str, shape: Shape) -> dict[str, TableShape]:
             child = node.fields[key]
             column = names.identifier(f"{prefix}_{key}" if prefix else key)
             path = (*keys, key)
-            feed.columns.setdefault(column, []).append(Cell(path, child.scalar))
+            feed.columns.setdefault(column, []).append(
+                Cell(path, child.scalar, child.fields is not None or child.element is not None)
+            )
             if child.fields is not None:
                 fields(child, path, column, feed)
             if child.element is not None:
@@ -109,8 +129,8 @@ def first_seen_types(
 ) -> Types:
     """Type every column by the first value met in record order; a null counts as text.
 
-    Types already in ``known`` stay. Columns that never hold a cell are left out. The job
-    returns at most one row per column and kind.
+    Types already in ``known`` stay. Columns that never hold a cell are left out. One
+    aggregation without grouping finds all of them; it returns one row.
     """
     known = known or {}
     candidates: list[tuple[str, str, tuple, Cell]] = []
@@ -123,55 +143,29 @@ def first_seen_types(
     if not candidates:
         return types
 
-    def kinds(steps: tuple, cell: Cell) -> Column:
+    def first_in_record(steps: tuple, cell: Cell) -> Column:
         if not steps:
-            return F.array(cell.kind(F.col("rec")))
-        return F.transform(values_at(F.col("rec"), steps), cell.kind)
-
-    seen = records.select(
-        "root_index",
-        F.inline(F.array(*[
-            F.struct(F.lit(index).alias("cell"), kinds(steps, cell).alias("kinds"))
-            for index, (_, _, steps, cell) in enumerate(candidates)
-        ])),
-    )
-    distinct = seen.select("root_index", "cell", F.explode(F.array_distinct("kinds")).alias("kind"))
-    firsts = (
-        distinct.where("kind IS NOT NULL").groupBy("cell", "kind")
-        .agg(F.min("root_index").alias("at")).collect()
-    )
-
-    columns: dict[tuple[str, str], list] = {}
-    for row in firsts:
-        table, column, _, _ = candidates[row["cell"]]
-        columns.setdefault((table, column), []).append(row)
-    ties = set()
-    for rows in columns.values():
-        earliest = min(row["at"] for row in rows)
-        rows[:] = [row for row in rows if row["at"] == earliest]
-        if len({row["kind"] for row in rows}) > 1:
-            ties |= {(row["cell"], row["at"]) for row in rows}
-    within: dict[tuple[int, str], int] = {}
-    if ties:
-        # Several kinds in one record: their order inside that record decides.
-        rows = (
-            seen.where(F.col("root_index").isin(sorted({at for _, at in ties})))
-            .where(F.col("cell").isin(sorted({cell for cell, _ in ties})))
-            .select("root_index", "cell", F.posexplode("kinds").alias("pos", "kind"))
-            .where("kind IS NOT NULL")
-            .groupBy("root_index", "cell", "kind").agg(F.min("pos").alias("pos")).collect()
-        )
-        within = {
-            (row["cell"], row["kind"]): row["pos"]
-            for row in rows if (row["cell"], row["root_index"]) in ties
-        }
+            return cell.schema(F.col("rec"))
+        schemas = F.transform(values_at(F.col("rec"), steps), cell.schema)
+        return F.get(F.array_compact(schemas), F.lit(0))
+
+    firsts = records.select("root_index", *[
+        first_in_record(steps, cell).alias(f"cell {index}")
+        for index, (_, _, steps, cell) in enumerate(candidates)
+    ]).agg(*[
+        F.min(F.when(F.col(name).isNotNull(), F.struct("root_index", F.col(name).alias("schema")))).alias(name)
+        for name in (f"cell {index}" for index in range(len(candidates)))
+    ]).first()
+
+    earliest: dict[tuple[str, str], tuple] = {}
+    for index, (table, column, _, _) in enumerate(candidates):
+        first = firsts[f"cell {index}"]
+        if first is not None:
+            found = (first["root_index"], index, first["schema"])
+            earliest[table, column] = min(found, earliest.get((table, column), found))
     for table, column, _, _ in candidates:
-        rows = columns.get((table, column))
-        if rows and column not in types[table]:
-            first = min(
-                rows, key=lambda row: (within.get((row["cell"], row["kind"]), 0), row["cell"])
-            )
-            types[table][column] = "text" if first["kind"] == "null" else first["kind"]
+        if (table, column) in earliest and column not in types[table]:
+            types[table][column] = _column_type(earliest[table, column][2])
     return types
 
 
@@ -271,16 +265,21 @@ def _cells(rows: DataFrame, feed: Feed, columns: dict[str, str]) -> DataFrame:
         else:
             # Keys that collide after normalisation: the last of them in the object wins.
             values[f"cell {column}"] = F.coalesce(
-                *[F.when(cell.kind(F.col("v")).isNotNull(), cell.of(F.col("v"))) for cell in reversed(cells)]
+                *[
+                    F.when(cell.schema(F.col("v")).isNotNull(), cell.of(F.col("v")))
+                    for cell in reversed(cells)
+                ]
             )
     rows = rows.withColumns(values) if values else rows
     schemas = {}
     for column, cells in sources.items():
         schema = F.schema_of_variant(F.col(f"`cell {column}`"))
-        structure = schema.startswith("OBJECT<")
-        if all(cell.path for cell in cells):
-            structure = structure | schema.startswith("ARRAY<")
-        schemas[f"schema {column}"] = F.when(~structure, schema)
+        if any(cell.mixed for cell in cells):
+            structure = schema.startswith("OBJECT<")
+            if all(cell.path for cell in cells):
+                structure = structure | schema.startswith("ARRAY<")
+            schema = F.when(~structure, schema)
+        schemas[f"schema {column}"] = schema
     return rows.withColumns(schemas) if schemas else rows
 
 

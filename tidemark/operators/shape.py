@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.variants import EACH, kind, values_at
+from ..functions.variants import EACH, is_array, is_object, values_at
 
 MAX_PATHS = 2000
 
@@ -83,7 +83,7 @@ def discover(records: DataFrame, column: str = "rec", max_paths: int = MAX_PATHS
             for index, steps in enumerate(paths)
         ])
         values = records.select(F.inline(candidates)).select("path", F.explode("found").alias("v"))
-        head = F.when(kind(F.col("v")).isin("object", "array"), kind(F.col("v"))).otherwise("scalar")
+        head = F.when(is_object(F.col("v")), "object").when(is_array(F.col("v")), "array").otherwise("scalar")
         found = (
             values.groupBy("path", head.alias("head"))
             .agg(F.schema_of_variant_agg("v").alias("schema"))

@@ -1,6 +1,6 @@
 """Registered queries by family."""
 
-from . import documents, history
+from . import documents, history, ledgers, paging, warehouses
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "documents", "history"]
+__all__ = ["ORACLES", "QUERIES", "documents", "history", "ledgers", "paging", "warehouses"]

@@ -177,10 +177,12 @@ def envelope_unwrap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("high_water_mark", """
-SELECT strftime(max(CASE WHEN event_id % 4 = 3 THEN date_trunc('second', ts) ELSE ts END),
-                '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS checkpoint,
-       sum(CASE WHEN event_id % 4 = 1 THEN 2 ELSE 1 END)::BIGINT AS found, 0 AS bad
-FROM events""")
+WITH m AS (SELECT max(CASE WHEN event_id % 4 = 3 THEN date_trunc('second', ts) ELSE ts END) AS t,
+                  sum(CASE WHEN event_id % 4 = 1 THEN 2 ELSE 1 END)::BIGINT AS found FROM events)
+SELECT strftime(t, '%Y-%m-%dT%H:%M:%S')
+         || CASE WHEN microsecond(t) % 1000000 <> 0 THEN strftime(t, '.%f') ELSE '' END || '+00:00' AS checkpoint,
+       found, 0 AS bad
+FROM m""")
 def watermark(spark: SparkSession, folder: str) -> DataFrame:
     """Highest ``updated_at`` at any depth, over texts with several zones and formats."""
     events = table(spark, folder, "events")

@@ -18,7 +18,9 @@ from ..operators.watermark import run_checkpoint
 from ..options import INCREMENTAL_UPSERT, PipelineError, SourceConfig
 from ..sources.landing import inspect_landing, read_manifest, write_landing
 from ..sources.manifests import validate_manifests
-from ..sources.pages import assemble_pages, empty_payload, page_chain_audit, run_complete, run_problems
+from ..sources.pages import (
+    PAGE_SCHEMA, assemble_pages, empty_payload, page_chain_audit, run_complete, run_problems,
+)
 from ..sources.payloads import scan_records
 from .store import Warehouse
 
@@ -51,11 +53,22 @@ class RunResult:
     checkpoint: str | None = None
 
 
+def _now_text() -> str:
+    return datetime.now(timezone.utc).isoformat()
+
+
 def land_pages(
     warehouse: Warehouse, pages: DataFrame, source: SourceConfig, run_id: int, load_mode: str,
     checkpoint_before: str | None, folder: str,
 ) -> Request:
-    """Combine the pages of one extraction and land them; refuses chains that are not whole."""
+    """Combine the pages of one extraction and land them; refuses chains that are not whole.
+
+    Pages are written as they arrive, so the source is read once however often the checks
+    and the assembly look at them.
+    """
+    raw = f"{folder}/_pages/{identifier(source.name)}-{run_id}"
+    pages.write.mode("overwrite").parquet(raw)
+    pages = warehouse.spark.read.schema(PAGE_SCHEMA).parquet(raw)
     problem = run_problems(pages).where("problem IS NOT NULL").first()
     if problem is not None:
         raise PipelineError("extract", problem["problem"])
@@ -165,12 +178,12 @@ def run_source(
     run_id = int(request.run_id) if request else warehouse.next_run_id()
     name = source.name
 
-    def event(**fields) -> None:
-        warehouse.append_run_event(run_id, name, **fields)
+    def record(*events: dict) -> None:
+        warehouse.append_run_events(run_id, name, *events)
 
+    queued = [{"status": "queued", "step": "queued"}]
     step = "validate"
     try:
-        event(status="queued", step="queued")
         source.validate()
         check_root_table(identifier(name))
         if request is None:
@@ -179,32 +192,33 @@ def run_source(
         else:
             load_mode, before = request.load_mode, request.checkpoint_before
         step = "extract"
-        event(status="running", step=step, checkpoint_before=before, load_mode=load_mode)
+        record(*queued, {
+            "status": "running", "step": step, "checkpoint_before": before, "load_mode": load_mode,
+        })
+        queued = []
         if request is None:
             request = land_pages(warehouse, fetch(load_mode, before), source, run_id, load_mode, before, folder)
         after = request.checkpoint_after
-        event(checkpoint_after=after, filename=request.filename)
         step = "load"
-        event(step=step)
+        record({"step": step, "checkpoint_after": after, "filename": request.filename})
         batch_id, tables = load_batch(warehouse, request, folder)
-        event(batch_id=batch_id)
         step = "core"
-        event(step=step)
+        record({"step": step, "batch_id": batch_id})
         effective_at = effective_at or datetime.now(timezone.utc)
         dimensions = sync_core(warehouse, batch_id, source, load_mode, effective_at, masters)
         check_arrived(step, map(dimension_name, tables), dimensions)
         step = "mart"
-        event(step=step)
+        record({"step": step})
         marts = warehouse.refresh_marts()
         check_arrived(step, map(dimension_name, tables), [row["dim_table"] for row in marts])
         step = "checkpoint"
         if after:
             warehouse.commit_checkpoint(name, run_id, after)
-        event(status="done", step="done", finished=datetime.now(timezone.utc).isoformat())
+        record({"status": "done", "step": "done", "finished": _now_text()})
         return RunResult(run_id, "done", batch_id, tables, dimensions, marts, after)
     except Exception as error:
         step = error.step if isinstance(error, PipelineError) else step
-        event(status="failed", step=step, error=str(error), finished=datetime.now(timezone.utc).isoformat())
+        record(*queued, {"status": "failed", "step": step, "error": str(error), "finished": _now_text()})
         if isinstance(error, PipelineError):
             raise
         raise PipelineError(step, str(error)) from error

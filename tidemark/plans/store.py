@@ -14,7 +14,6 @@ from datetime import datetime, timezone
 from functools import reduce
 from typing import TypeVar
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +50,12 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whichever file system it names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def at_once(task: Callable[[_Item], _Result], items: Iterable[_Item]) -> list[_Result]:
     """Submit independent Spark jobs together."""
     with ThreadPoolExecutor(max_workers=WRITERS) as pool:
@@ -71,12 +76,9 @@ class Warehouse:
 
     def _read_log(self, name: str, schema: str) -> DataFrame:
         path = self._path("logs", name)
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def _append_log(self, name: str, schema: str, rows: list[dict]) -> None:
         fields = T.StructType.fromDDL(schema).names
@@ -293,15 +295,18 @@ class Warehouse:
     def run_events(self) -> DataFrame:
         return self._read_log("run_events", RUN_EVENTS)
 
-    def append_run_event(self, run_id: int, source: str, **fields) -> None:
-        unknown = sorted(set(fields) - set(RUN_FIELDS))
-        if unknown:
-            raise ValueError(f"unsupported run field(s): {', '.join(unknown)}")
+    def append_run_events(self, run_id: int, source: str, *events: dict) -> None:
+        """Append what happened to a run, in order."""
+        rows = []
         at = _now()
-        text = {name: None if value is None else str(value) for name, value in fields.items()}
-        self._append_log("run_events", RUN_EVENTS, [
-            {"run_id": run_id, "seq": int(at.timestamp() * 1_000_000), "at": at, "source": source, **text}
-        ])
+        for offset, fields in enumerate(events):
+            unknown = sorted(set(fields) - set(RUN_FIELDS))
+            if unknown:
+                raise ValueError(f"unsupported run field(s): {', '.join(unknown)}")
+            text = {name: None if value is None else str(value) for name, value in fields.items()}
+            seq = int(at.timestamp() * 1_000_000) + offset
+            rows.append({"run_id": run_id, "seq": seq, "at": at, "source": source, **text})
+        self._append_log("run_events", RUN_EVENTS, rows)
 
     def is_finished(self, filename: str) -> bool:
         """Whether a run over a landed file went through to its end."""

@@ -30,6 +30,8 @@ def local_session(cpus: int | str = "*", memory: str = "16g", name: str = "tidem
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.driver.memory": memory,
+        # Expressions are built faster when the call site of each is not recorded.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -21,6 +21,7 @@ def parse_instant(text: Column) -> Column:
     local = F.replace(
         F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})$", ""), F.lit(","), F.lit(".")
     )
+    local = F.when(F.length(local) == len("2026-01-01T11:30"), F.concat(local, F.lit(":00"))).otherwise(local)
 
     def piece(group: int, default: str | None = None) -> Column:
         part = F.regexp_extract(text, _BASIC, group)

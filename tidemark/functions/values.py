@@ -86,20 +86,23 @@ def uuid_text(*parts: Column) -> Column:
     )
 
 
+# Characters JSON escapes by a letter, by their UTF-16 code.
+_SHORT_ESCAPES = {
+    "0022": '\\"', "005C": "\\\\", "0008": "\\b", "0009": "\\t", "000A": "\\n", "000C": "\\f",
+    "000D": "\\r",
+}
+
+
 def json_string(value: Column) -> Column:
-    """JSON string literal in ASCII; characters beyond it become ``\\uXXXX``."""
-    body = F.to_json(F.array(value))
-    body = F.substring(body, F.lit(2), F.length(body) - 2)
-    units = F.filter(
-        F.split(F.regexp_replace(F.hex(F.encode(body, "UTF-16BE")), "(....)", "$1 "), " "),
-        lambda unit: unit != "",
-    )
-    ascii_body = F.array_join(
-        F.transform(
-            units,
-            lambda unit: F.when(unit < "0080", F.char(F.conv(unit, 16, 10).cast("int")))
-            .otherwise(F.concat(F.lit("\\u"), F.lower(unit))),
-        ),
-        "",
-    )
-    return F.when(body.rlike(r"[^\x00-\x7f]"), ascii_body).otherwise(body)
+    """JSON string literal in printable ASCII; other characters become ``\\uXXXX``."""
+    plain = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    units = F.regexp_extract_all(F.hex(F.encode(value, "UTF-16BE")), F.lit("(....)"))
+
+    def escaped(unit: Column) -> Column:
+        text = F.when(unit.between("0020", "007E"), F.char(F.conv(unit, 16, 10).cast("int")))
+        for code, escape in _SHORT_ESCAPES.items():
+            text = F.when(unit == code, escape).otherwise(text)
+        return F.coalesce(text, F.concat(F.lit("\\u"), F.lower(unit)))
+
+    body = F.when(value.rlike("[^ -~]"), F.array_join(F.transform(units, escaped), "")).otherwise(plain)
+    return F.concat(F.lit('"'), body, F.lit('"'))

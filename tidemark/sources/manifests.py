@@ -36,15 +36,15 @@ def manifest_name(filename: Column) -> Column:
 
 
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """All manifests below a path; one that is not JSON has ``_corrupt`` set."""
+    """All manifests in a folder; one that is not JSON has ``_corrupt`` set."""
     schema = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
     manifests = (
         spark.read.schema(schema).option("multiLine", True)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("pathGlobFilter", f"*{MANIFEST_SUFFIX}").option("recursiveFileLookup", True)
-        .json(path)
+        .option("columnNameOfCorruptRecord", "_corrupt").json(f"{path}/*{MANIFEST_SUFFIX}")
     )
-    return manifests.withColumn("manifest_filename", F.col("_metadata.file_name"))
+    # A manifest is a file, or a directory of one file when Spark wrote it.
+    name = F.regexp_extract(F.url_decode("_metadata.file_path"), r"([^/]+\.manifest\.json)", 1)
+    return manifests.withColumn("manifest_filename", name)
 
 
 def validate_manifests(requests: DataFrame, payloads: DataFrame, manifests: DataFrame) -> DataFrame:

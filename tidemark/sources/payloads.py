@@ -62,7 +62,7 @@ def scan_records(spark: SparkSession, path: str) -> DataFrame:
 
 def inspect_content(documents: DataFrame, content: str = "content") -> DataFrame:
     """Add validity, root type, collection, size and SHA-256 of a binary document column."""
-    text = F.try_validate_utf8(F.decode(F.col(content), "UTF-8"))
+    text = F.try_validate_utf8(F.col(content).cast("string"))
     body = F.try_parse_json(text)
     root = kind(F.col("_body"))
     return (

@@ -20,25 +20,21 @@ def double_text(value: Column, fixed_digits: int = 15, keep_point: bool = False)
     ``keep_point`` writes whole numbers as ``2.0``.
     """
     java = value.cast("string")
-    magnitude = F.abs(value)
-    plain = F.regexp_replace(java.try_cast("decimal(38,20)").cast("string"), r"\.?0+$", "")
-    plain = F.when(plain.isin("", "-"), F.concat(plain, F.lit("0"))).otherwise(plain)
-    if keep_point:
-        plain = F.when(F.instr(plain, ".") > 0, plain).otherwise(F.concat(plain, F.lit(".0")))
+    # Java writes magnitudes from 1e-3 up to 1e7, zero, NaN and infinities without exponent.
+    short = java if keep_point else F.regexp_replace(java, r"\.0$", "")
     mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
     exponent = F.substring_index(java, "E", -1).try_cast("int")
+    written = F.regexp_replace(java.try_cast("decimal(38,20)").cast("string"), r"\.?0+$", "")
+    if keep_point:
+        written = F.when(F.instr(written, ".") > 0, written).otherwise(F.concat(written, F.lit(".0")))
     digits = F.abs(exponent).cast("string")
     scientific = F.concat(
         mantissa, F.lit("e"), F.when(exponent < 0, "-").otherwise("+"),
         F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits),
     )
-    zero = F.when(F.substring(java, 1, 1) == "-", "-0").otherwise("0")
-    if keep_point:
-        zero = F.concat(zero, F.lit(".0"))
     return (
-        F.when(F.isnan(value) | (magnitude == float("inf")), java)
-        .when(value == 0.0, zero)
-        .when((magnitude >= 1e-4) & (magnitude < float(f"1e{fixed_digits}")), plain)
+        F.when(F.instr(java, "E") == 0, short)
+        .when((exponent >= -4) & (exponent < fixed_digits), written)
         .otherwise(scientific)
     )
 

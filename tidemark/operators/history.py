@@ -76,12 +76,13 @@ def _null_safe_key(key: Column, salt: Column | None = None) -> Column:
 
 
 def merge_keyed(
-    dimension: DataFrame, batch: DataFrame, load_mode: str, delete_policy: str,
+    dimension: DataFrame | None, batch: DataFrame, load_mode: str, delete_policy: str,
     effective_at: datetime, plan: str = "auto",
 ) -> Merge:
     """Merge a batch that carries ``_business_key`` and ``_content_hash`` into a dimension.
 
-    A batch with ``_row_index`` may repeat keys and the last row counts; one without it comes
+    Without a dimension everything is inserted, and there is nothing to join. A batch with
+    ``_row_index`` may repeat keys and the last row counts; one without it comes
     from a table whose key is unique.
 
     Two plans give the same result. ``outer`` joins both sides once, which suits a batch
@@ -93,7 +94,9 @@ def merge_keyed(
     check_options(load_mode, delete_policy)
     at = F.lit(effective_at)
     closes_missing = load_mode == FULL_SNAPSHOT and delete_policy == CLOSE_ON_FULL_SNAPSHOT
-    dimension = evolve_dimension(dimension, batch.drop("_business_key", "_content_hash"))
+    rows = batch.drop("_business_key", "_content_hash")
+    is_new = dimension is None
+    dimension = empty_dimension(batch.sparkSession, rows) if is_new else evolve_dimension(dimension, rows)
     columns = dimension.columns
     types = {item.name: item.dataType for item in dimension.schema}
 
@@ -119,6 +122,8 @@ def merge_keyed(
             for name in columns
         ],
     )
+    if is_new:
+        return Merge(dimension, fresh.select(*columns, F.lit(INSERT).alias("_change")))
     if plan == "auto":
         plan = "delta" if load_mode == INCREMENTAL_UPSERT else "outer"
     build = _delta_changes if plan == "delta" else _outer_changes
@@ -174,7 +179,7 @@ def _version(columns: list[str], closing: Column, effective_at: Column, value) -
 
 
 def merge(
-    dimension: DataFrame, batch: DataFrame, key: Column, load_mode: str, delete_policy: str,
+    dimension: DataFrame | None, batch: DataFrame, key: Column, load_mode: str, delete_policy: str,
     effective_at: datetime, hashed: Sequence[str] | None = None, plan: str = "auto",
 ) -> Merge:
     """Merge staged rows into a dimension; the last row of a key in the batch counts."""
@@ -200,11 +205,8 @@ def sync_batch(
     for table in sorted(tables):
         rows = tables[table]
         name = names.dimension_name(table)
-        dimension = dimensions.get(name)
-        if dimension is None:
-            dimension = empty_dimension(rows.sparkSession, rows)
         merges[name] = merge(
-            dimension, rows, business_key(rows, key_fields, table), load_mode, delete_policy,
+            dimensions.get(name), rows, business_key(rows, key_fields, table), load_mode, delete_policy,
             effective_at, plan=plan,
         )
     return merges
@@ -225,8 +227,6 @@ def sync_master(
     key, compared = MASTER_ENTITIES[entity]
     types = {item.name: item.dataType for item in master.schema}
     rows = master.select(key, *compared)
-    if dimension is None:
-        dimension = empty_dimension(master.sparkSession, rows)
     return merge(
         dimension, rows, value_text(F.col(key), types[key]), load_mode, delete_policy,
         effective_at, compared,

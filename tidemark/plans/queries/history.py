@@ -7,10 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ...operators.history import (
-    Merge, empty_dimension, master_stats, merge, sync_batch, sync_users,
-)
-from ...operators.flatten import flatten
+from ...operators.history import Merge, master_stats, merge, sync_batch, sync_users
+from ...operators.flatten import Flattened, flatten
 from ...operators.keys import business_key, latest_per_key
 from ...operators.marts import project_mart, users_with_departments, visible_users
 from ...functions.values import record_text, value_text
@@ -19,7 +17,7 @@ from ...options import (
     NEVER_CLOSE as NEVER,
 )
 from .documents import order_documents
-from .registry import day, query, staged, table
+from .registry import day, query, staged, table, written
 
 T0, T1, T2 = (datetime(2024, month, 1, tzinfo=timezone.utc) for month in (1, 2, 3))
 COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -72,10 +70,10 @@ WHERE NOT EXISTS (SELECT 1 FROM {old} o WHERE o.c_custkey = n.c_custkey AND {sam
 def start(first: DataFrame) -> DataFrame:
     """Dimension after a first full snapshot."""
     batch = staged(first, 1, "c_custkey")
-    return apply(empty_dimension(first.sparkSession, batch), batch, FULL, CLOSE, T0).dimension
+    return apply(None, batch, FULL, CLOSE, T0).dimension
 
 
-def apply(dimension: DataFrame, batch: DataFrame, mode: str, policy: str, at, plan: str = "auto") -> Merge:
+def apply(dimension: DataFrame | None, batch: DataFrame, mode: str, policy: str, at, plan: str = "auto") -> Merge:
     return merge(dimension, batch, business_key(batch, ["c_custkey"]), mode, policy, at, plan=plan)
 
 
@@ -138,7 +136,6 @@ def scd2_null_key(spark: SparkSession, folder: str) -> DataFrame:
     dimension = None
     for batch_id, at in ((1, T0), (2, T1)):
         batch = staged(rows, 1, "c_custkey").withColumn("_source_batch_id", F.lit(batch_id).cast("bigint"))
-        dimension = dimension if dimension is not None else empty_dimension(spark, batch)
         dimension = merge(dimension, batch, business_key(batch, ["k"]), INCREMENTAL, CLOSE, at).dimension
     return versions(dimension, "k", "c_custkey")
 
@@ -152,7 +149,7 @@ def scd2_composite_key(spark: SparkSession, folder: str) -> DataFrame:
     """A two-column key over lines; one line number disappears from the second snapshot."""
     lines = staged(table(spark, folder, "lineitem"), 1, "l_partkey")
     key = business_key(lines, ["l_orderkey", "l_linenumber"])
-    first = merge(empty_dimension(spark, lines), lines, key, FULL, CLOSE, T0)
+    first = merge(None, lines, key, FULL, CLOSE, T0)
     second = merge(first.dimension, lines.where("l_linenumber <> 7"), key, FULL, CLOSE, T1)
     return second.dimension.select(
         F.col("_business_key").alias("business_key"), day("valid_from"), day("valid_to"), "is_current",
@@ -249,6 +246,11 @@ def record_text_key(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored(batch: Flattened) -> Flattened:
+    """Staged tables as a run finds them: written once, then read."""
+    return Flattened({name: written(rows) for name, rows in batch.tables.items()}, batch.types)
+
+
 @query("sync_batch", """
 WITH first AS (SELECT count(*) AS n, sum(len(string_split(o_orderpriority, '-'))) AS tags FROM orders),
 second AS (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F')
@@ -265,9 +267,9 @@ def sync_orders(spark: SparkSession, folder: str) -> DataFrame:
     root row and one of the two charges; tags stay as they are.
     """
     orders = table(spark, folder, "orders")
-    first = flatten(order_documents(orders), "orders", 1)
+    first = stored(flatten(written(order_documents(orders)), "orders", 1))
     again = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    second = flatten(order_documents(again), "orders", 2, first.types)
+    second = stored(flatten(written(order_documents(again)), "orders", 2, first.types))
     loaded = sync_batch(first.tables, {}, FULL, CLOSE, T0)
     held = {name: merged.dimension for name, merged in loaded.items()}
     updated = sync_batch(second.tables, held, INCREMENTAL, CLOSE, T1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions.variants import parse
-from ...session import configure
+from ...session import configure, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def written(rows: DataFrame) -> DataFrame:
+    """Rows written to the shared folder and read back, so later steps start from there."""
+    spark = rows.sparkSession
+    path = scratch_folder(spark)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def records(rows: DataFrame, index: Column, document: Column) -> DataFrame:
     """Rows as parsed JSON documents."""
     return rows.select(index.cast("bigint").alias("root_index"), parse(F.to_json(document)).alias("rec"))

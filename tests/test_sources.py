@@ -20,7 +20,7 @@ from tidemark.sources.pages import (
     run_problems,
 )
 from tidemark.sources.slices import list_page
-from tidemark.sources.synthetic import bulk_records, dataset_stats, mutate, rows_for_bytes
+from tidemark.sources.synthetic import bulk_records, dataset_stats, mutate, rows_for_bytes, synthesize
 
 BASE = "https://api.test/items"
 
@@ -216,6 +216,18 @@ def test_sizes(spark):
     assert tuple(found) == (2, len(body.encode()))
 
 
+def test_synthesized_source(spark):
+    made = synthesize(
+        spark, datetime(2026, 1, 1, tzinfo=timezone.utc), small_rows=30, medium_bytes=100_000, large_bytes=300_000,
+    )
+    counts = {name: table.count() for name, table in made.items()}
+    assert (counts["departments"], counts["customers"]) == (30, 30)
+    assert 0.9 < dataset_stats(made["medium_records"]).first()["json_bytes"] / 100_000 < 1.1
+    assert 2.5 < counts["large_records"] / counts["medium_records"] < 3.5
+    keys = {r["id"] for r in made["departments"].collect()}
+    assert {r["department_id"] for r in made["customers"].collect()} <= keys
+
+
 def test_mutation_bounds(spark):
     table = spark.range(3).selectExpr("id", "'n' AS name")
     with pytest.raises(ValueError, match="only 3 rows"):

@@ -174,6 +174,25 @@ def test_schema_grows_and_types_stay(warehouse, folder):
     assert [tuple(r) for r in found] == [("x", None, False), ("5", True, True)]
 
 
+def test_attempt_that_is_lost_leaves_no_columns(warehouse, folder, monkeypatch):
+    source = SourceConfig("s", "https://a.test/s", watermark_field="")
+    append = Warehouse._append_log
+
+    def lose(self, name, schema, rows):
+        if name == "raw_batches":
+            raise OSError("lost")
+        append(self, name, schema, rows)
+
+    monkeypatch.setattr(Warehouse, "_append_log", lose)
+    with pytest.raises(PipelineError, match="lost"):
+        go(warehouse, source, folder, [{"id": "a", "x": True}])
+    monkeypatch.undo()
+    result, _ = go(warehouse, source, folder, [{"id": 1, "y": 2.5}])
+    assert result.batch_id == 1
+    assert warehouse.staged_types() == {"s": {"id": "bigint", "y": "double"}}
+    assert [(r["id"], r["y"]) for r in warehouse.mart("s").collect()] == [(1, 2.5)]
+
+
 def test_core_refuses_batches_that_do_not_match(warehouse, folder):
     source = SourceConfig("s", "https://a.test/s", watermark_field="")
     go(warehouse, source, folder, [row(1, "a", 9)])

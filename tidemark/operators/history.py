@@ -87,8 +87,9 @@ def merge_keyed(
 
     Two plans give the same result. ``outer`` joins both sides once, which suits a batch
     about as large as the dimension. ``delta`` joins the current rows with only the keys and
-    hashes of the batch: when those are under the session's broadcast threshold the planner
-    ships them to the dimension, which then is not shuffled; beyond it, it sorts and merges.
+    hashes of the batch, and the batch with the versions those keys pick: when the keys are
+    under the session's broadcast threshold the planner ships them to the dimension, which
+    then is not shuffled; beyond it, it sorts and merges.
     ``auto`` takes ``delta`` for incremental batches.
     """
     check_options(load_mode, delete_policy)
@@ -123,7 +124,9 @@ def merge_keyed(
         ],
     )
     if is_new:
-        return Merge(dimension, fresh.select(*columns, F.lit(INSERT).alias("_change")))
+        # A filter that is never true is planned away, so a first load reads the batch once.
+        nothing = fresh.select(*columns).where(F.lit(False))
+        return Merge(nothing, fresh.select(*columns, F.lit(INSERT).alias("_change")))
     if plan == "auto":
         plan = "delta" if load_mode == INCREMENTAL_UPSERT else "outer"
     build = _delta_changes if plan == "delta" else _outer_changes
@@ -159,7 +162,10 @@ def _delta_changes(
     kept = current.join(sent, "_join_key", "left").select(
         *_version(columns, closing, effective_at, lambda name: F.col(f"`{name}`"))
     )
-    held = current.select("_join_key", "_content_hash")
+    # The versions the batch can meet are picked by the keys sent, not by a shuffle of all.
+    held = current.select("_join_key", "_content_hash").join(
+        sent.select("_join_key"), "_join_key", "left_semi"
+    )
     inserted = fresh.join(held, ["_join_key", "_content_hash"], "left_anti").select(
         *columns, F.lit(INSERT).alias("_change")
     )

@@ -82,7 +82,10 @@ def discover(records: DataFrame, column: str = "rec", max_paths: int = MAX_PATHS
             F.struct(F.lit(index).alias("path"), values_at(F.col(column), steps).alias("found"))
             for index, steps in enumerate(paths)
         ])
-        values = records.select(F.inline(candidates)).select("path", F.explode("found").alias("v"))
+        if paths == [()]:
+            values = records.select(F.lit(0).alias("path"), F.col(column).alias("v")).where("v IS NOT NULL")
+        else:
+            values = records.select(F.inline(candidates)).select("path", F.explode("found").alias("v"))
         head = F.when(is_object(F.col("v")), "object").when(is_array(F.col("v")), "array").otherwise("scalar")
         found = (
             values.groupBy("path", head.alias("head"))

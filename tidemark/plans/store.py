@@ -30,7 +30,7 @@ LEDGER = (
     "load_mode STRING, delete_policy STRING, checkpoint_before STRING, checkpoint_after STRING, "
     "pagination_complete BOOLEAN, table_names ARRAY<STRING>"
 )
-COLUMNS = "batch_id BIGINT, table STRING, ordinal INT, column STRING, type STRING"
+COLUMNS = "batch_id BIGINT, filename STRING, table STRING, ordinal INT, column STRING, type STRING"
 VERSIONS = (
     "name STRING, version BIGINT, columns STRING, current_rows BIGINT, inserted_rows BIGINT, "
     "closed_rows BIGINT, at TIMESTAMP"
@@ -96,10 +96,13 @@ class Warehouse:
     # ---- staging -----------------------------------------------------------------------
 
     def staged_types(self) -> Types:
-        """Columns of the staged tables, in the order they were added."""
-        loaded = self.ledger.select(F.col("id").alias("batch_id"))
+        """Columns of the staged tables, in the order they were added.
+
+        What an attempt noted that never reached the ledger does not count.
+        """
+        loaded = self.ledger.select(F.col("id").alias("batch_id"), "filename")
         rows = (
-            self._read_log("staging_columns", COLUMNS).join(loaded, "batch_id", "left_semi")
+            self._read_log("staging_columns", COLUMNS).join(loaded, ["batch_id", "filename"], "left_semi")
             .distinct().orderBy("batch_id", "table", "ordinal").collect()
         )
         types: Types = {}
@@ -140,7 +143,9 @@ class Warehouse:
                 for n, c in enumerate(new)
             ]
         if added:
-            self._append_log("staging_columns", COLUMNS, [{"batch_id": batch_id, **row} for row in added])
+            self._append_log("staging_columns", COLUMNS, [
+                {"batch_id": batch_id, "filename": entry["filename"], **row} for row in added
+            ])
         self._append_log("raw_batches", LEDGER, [
             {**entry, "id": batch_id, "loaded_at": _now(), "table_names": tables}
         ])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,9 +43,23 @@ def local_session(cpus: int | str = "*", memory: str = "16g", name: str = "tidem
     return configure(spark)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and all executors share.
+
+    It is the one the cluster names in ``spark.checkpoint.dir``, else the context's checkpoint
+    folder, else a folder below the warehouse. Only a session whose tasks all run in this process
+    may fall back on a temporary folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        own = tempfile.mkdtemp(prefix="tidemark-")
+        spark.sparkContext.setCheckpointDir(own)
+        return own
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """Fresh folder below the shared one the cluster names for checkpoints."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    """Fresh folder below the shared one."""
+    return f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe
-from .common import batched
+from . import byte_bpe, toxicity
+from .common import batched, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,3 +47,12 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(byte_bpe.decode(F.col("ids"), ranks, public_tokenizers.PATTERN), 256).alias("decoded_sha256"),
     )
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    learning = training_row(F.col("doc_id"), 3, 1)
+    lexicon = toxicity.learn(toxicity.sample(docs, table(spark, folder, "labels").where(learning)))
+    rows = docs.select("doc_id", (~learning).alias("held_out"), toxicity.toxicity(F.col("text"), lexicon).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))

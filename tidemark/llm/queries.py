@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, toxicity
+from . import byte_bpe, line_rules, toxicity
 from .common import batched, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,61 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     lexicon = toxicity.learn(toxicity.sample(docs, table(spark, folder, "labels").where(learning)))
     rows = docs.select("doc_id", (~learning).alias("held_out"), toxicity.toxicity(F.col("text"), lexicon).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+RULES_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+),
+w AS (
+  SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
+  FROM d
+),
+windows AS (
+  SELECT r, i AS p, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS three
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)
+),
+twice AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, three) AS n FROM windows) WHERE n > 1),
+repeated AS (
+  SELECT r, sum(least(3, coalesce(following - p, 3))) AS n
+  FROM (SELECT r, p, lead(p) OVER (PARTITION BY r ORDER BY p) AS following FROM twice) GROUP BY r
+),
+base AS (
+  SELECT d.r, doc_id, source, t, len(ws) AS n_words,
+         length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words, ls
+  FROM d JOIN w USING (r) LEFT JOIN repeated USING (r)
+),
+lines AS (
+  SELECT r, source, t, trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
+  FROM (SELECT r, source, t, unnest(ls) AS x FROM base)
+),
+hosts AS (SELECT source, count(DISTINCT t) AS texts FROM d GROUP BY source),
+common AS (
+  SELECT l.source, line FROM (SELECT source, line, count(DISTINCT t) AS n FROM lines GROUP BY source, line) l
+  JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source WHERE n > 20 AND 100 * n > 5 * texts
+),
+removed AS (
+  SELECT r, sum(len(string_split(l.line, ' '))) AS n FROM lines l
+  JOIN common c ON l.line = c.line AND l.source IS NOT DISTINCT FROM c.source GROUP BY r
+),
+judged AS (
+  SELECT b.*, coalesce(n, 0)::BIGINT AS n_removed_words,
+         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM base b LEFT JOIN removed USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (n_removed_words > 0
+         AND (100 * n_removed_words > 50 * n_words OR n_words - n_removed_words < 20)) AS kept,
+       n_removed_words
+FROM judged
+"""
+
+
+@query("op9_line_rules", RULES_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.verdicts(table(spark, folder, "documents")).drop("text_key", "host_key")

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_rules, toxicity
-from .common import batched, training_row
+from . import byte_bpe, line_rules, mixing, toxicity
+from .common import batched, stored, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_mixing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "documents").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", mixing.size(F.col("text")).alias("size")
+    )
+    return mixing.plan(stored(rows)).select("doc_id", "size", "source_size", "target", "taken", "passes")
+
+
 @query("op8_toxicity")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

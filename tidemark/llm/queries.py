@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_rules, mixing, toxicity
+from . import byte_bpe, line_rules, mixing, near_dedup, toxicity
 from .common import batched, stored, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_near_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     ranks = byte_bpe.load_ranks(spark, public_tokenizers.path(RANKS))

@@ -49,3 +49,15 @@ def training_row(doc_id: Column, parts: int, held_out: int) -> Column:
 def small(keys: DataFrame) -> DataFrame:
     """Stored keys, marked for broadcast if they were counted to be few."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """At most ``most`` labelled rows of each class, the first by a hash of the id: (doc_id, text, label).
+
+    Labels other than 0 and 1 and null ids are no labels; of several labels of an id the least counts,
+    of several texts the least.
+    """
+    known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
+    first = [known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for value in (0, 1)]
+    chosen = F.broadcast(first[0].unionByName(first[1]))
+    return docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

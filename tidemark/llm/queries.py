@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_rules, mixing, near_dedup, toxicity
+from . import byte_bpe, line_rules, mixing, near_dedup, quality_knn, toxicity
 from .common import batched, stored, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,16 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(stored(rows)).select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 
+@query("op7_quality_knn")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    learning = training_row(F.col("doc_id"), 3, 1)
+    labels = table(spark, folder, "labels").where(learning)
+    model = spark.sparkContext.broadcast(quality_knn.learn(quality_knn.sample(docs, labels, "quality")))
+    rows = docs.select("doc_id", (~learning).alias("held_out"), quality_knn.quality(F.col("text"), model).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query("op8_toxicity")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

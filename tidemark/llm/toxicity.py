@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from .common import labelled_sample
+
 # Letters of other scripts and signs that look like Latin letters.
 HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "е": "e", "ё": "e", "н": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m",
@@ -163,14 +165,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """At most ``most`` labelled rows of each class, the first by a hash of the id: (doc_id, text, label)."""
-    known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").alias("label"))
-    first = [
-        known.where(F.col("label") == label).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        for label in (0, 1)
-    ]
-    chosen = F.broadcast(first[0].unionByName(first[1]))
-    return docs.select("doc_id", "text").join(chosen, "doc_id")
+    """The bounded labelled rows to learn from: (doc_id, label, text)."""
+    return labelled_sample(docs, labels, "toxic", most)
 
 
 def learn(labelled: DataFrame) -> Lexicon:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_rules, mixing, near_dedup, quality_knn, toxicity
+from . import byte_bpe, line_rules, log_bilinear, mixing, near_dedup, quality_knn, toxicity
 from .common import batched, stored, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,11 @@ FROM judged
 @query("op9_line_rules", RULES_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.verdicts(table(spark, folder, "documents")).drop("text_key", "host_key")
+
+
+@query("op10_log_bilinear")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    learning = training_row(F.col("doc_id"), 10, 0)
+    docs = table(spark, folder, "documents").select("doc_id", (~learning).alias("held_out"), "text")
+    model, counts = log_bilinear.learn(docs.where(learning))
+    return log_bilinear.score(docs, model, counts)

@@ -32,7 +32,7 @@ WORDS, CLASSES = 63, 64
 UNITS = 1 + WORDS + CLASSES
 HEAD = 200_000
 #: Dimensions, training steps, triples and noise units in a step, rate of learning.
-DIMENSIONS, STEPS, BATCH, NOISE, RATE = 24, 1500, 4096, 64, 0.02
+DIMENSIONS, STEPS, BATCH, NOISE, RATE = 24, 1500, 2048, 64, 0.02
 #: Added to each count.
 ALPHA = 0.1
 
@@ -133,15 +133,15 @@ def train(codes: np.ndarray, counts: np.ndarray, seed: int = 42) -> np.ndarray:
     rng = np.random.default_rng(seed)
     scale = 0.1
     shapes = {"context": (UNITS, DIMENSIONS), "unit": (UNITS, DIMENSIONS), "bias": (UNITS,)}
-    p = {name: scale * rng.standard_normal(shape) for name, shape in shapes.items()}
-    p |= {"far": np.eye(DIMENSIONS) * 0.5, "near": np.eye(DIMENSIONS)}
+    p = {name: (scale * rng.standard_normal(shape)).astype(np.float32) for name, shape in shapes.items()}
+    p |= {"far": np.eye(DIMENSIONS, dtype=np.float32) / 2, "near": np.eye(DIMENSIONS, dtype=np.float32)}
     if len(codes):
         target = codes % UNITS
         far, near = codes // UNITS ** 2, codes // UNITS % UNITS
         share = np.bincount(target, weights=counts, minlength=UNITS) + 1.0
         noise = share / share.sum()
-        p["bias"] = np.log(noise)
-        prior = np.log(NOISE * noise)
+        p["bias"] = np.log(noise).astype(np.float32)
+        prior = np.log(NOISE * noise).astype(np.float32)
         upto, upto_noise = np.cumsum(counts, dtype=float), np.cumsum(noise)
         moments = {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in p.items()}
         for step in range(1, STEPS + 1):
@@ -162,14 +162,15 @@ def train(codes: np.ndarray, counts: np.ndarray, seed: int = 42) -> np.ndarray:
             np.add.at(g["unit"], wrong, down.T @ hidden)
             np.add.at(g["context"], a, side @ p["far"].T)
             np.add.at(g["context"], b, side @ p["near"].T)
-            g["bias"] = np.bincount(w, weights=up, minlength=UNITS)
-            g["bias"] += np.bincount(wrong, weights=down.sum(axis=0), minlength=UNITS)
-            rate = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
+            g["bias"] = np.bincount(w, weights=up, minlength=UNITS).astype(np.float32)
+            g["bias"] += np.bincount(wrong, weights=down.sum(axis=0), minlength=UNITS).astype(np.float32)
+            rate = np.float32(RATE * min(1.0, 2 * (1 - step / (STEPS + 1))))
             for name, (first, second) in moments.items():
                 first += 0.1 * (g[name] - first)
                 second += 0.01 * (g[name] ** 2 - second)
-                fixed = first / (1 - 0.9 ** step), second / (1 - 0.99 ** step)
+                fixed = first / np.float32(1 - 0.9 ** step), second / np.float32(1 - 0.99 ** step)
                 p[name] = p[name] + rate * fixed[0] / (np.sqrt(fixed[1]) + 1e-8)
+    p = {name: value.astype(float) for name, value in p.items()}
     hidden = (p["context"] @ p["far"])[:, None, :] + (p["context"] @ p["near"])[None, :, :]
     scores = hidden.reshape(-1, DIMENSIONS) @ p["unit"].T + p["bias"]
     scores -= scores.max(axis=1, keepdims=True)

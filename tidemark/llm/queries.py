@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_rules, log_bilinear, mixing, near_dedup, quality_knn, toxicity
+from ..session import scratch_folder
+from . import byte_bpe, line_rules, log_bilinear, mixing, near_dedup, quality_knn, toxicity, warc
 from .common import batched, stored, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,22 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op5_warc")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    place = scratch_folder(spark)
+    shards = warc.index(warc.write(pages, f"{place}/archives"), f"{place}/index")
+    requests = pages.select(warc.url_key(F.col("url")).alias("key"), "page_id")
+    read = warc.read(warc.lookup(requests, f"{place}/index", shards), f"{place}/archives")
+    # A response is measured by what was read back; a revisit has what its record says of the payload.
+    return read.select(
+        "page_id",
+        F.coalesce(F.octet_length("payload").cast("bigint"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha2("payload", 256), "digest").alias("payload_digest"),
+        "record_type", "refers_to",
+    )
+
+
 @query("op6_mixing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents").select(

@@ -144,7 +144,7 @@ def _written(folder: str):
         for row in rows:
             # Places are reported once their archive is closed.
             archive, places, offset = f"{uuid.uuid4().hex}.warc.gz", [], 0
-            with system.open_output_stream(f"{path}/{archive}") as stream:
+            with system.open_output_stream(f"{path}/{archive}", compression=None) as stream:
                 while row is not None:
                     packed = record(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"])
                     stream.write(packed)
@@ -184,7 +184,7 @@ def _indexed(folder: str):
         system.create_dir(path, recursive=True)
         shard = f"{uuid.uuid4().hex}.idx"
         directory, lines, offset = [], [], 0
-        with system.open_output_stream(f"{path}/{shard}") as stream:
+        with system.open_output_stream(f"{path}/{shard}", compression=None) as stream:
 
             def close() -> int:
                 packed = zlib.compress("\n".join(json.dumps(line) for line in lines).encode(), LEVEL)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import byte_bpe, line_rules, log_bilinear, mixing, near_dedup, quality_knn, toxicity, warc
+from . import byte_bpe, hamming_search, line_rules, log_bilinear, mixing, near_dedup, quality_knn, toxicity, warc
 from .common import batched, stored, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,21 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SEARCH_SQL = """
+WITH d AS (SELECT DISTINCT q.vec_id AS query_id, v.vec_id,
+                  len([i FOR i IN range(1, 65) IF (q.embedding[i] > 0) <> (v.embedding[i] > 0)])::INTEGER AS distance
+           FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INTEGER AS rank FROM d)
+SELECT query_id, vec_id, distance, rank FROM r WHERE rank <= 10
+"""
+
+
+@query("op4_hamming_search", SEARCH_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    codes = table(spark, folder, "embeddings").select("vec_id", hamming_search.code(F.col("embedding")).alias("code"))
+    return hamming_search.neighbours(codes, codes.where(F.col("vec_id") % 50 == 0))
+
+
 @query("op5_warc")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import byte_bpe, hamming_search, line_rules, log_bilinear, mixing, near_dedup, quality_knn, toxicity, warc
+from . import byte_bpe, hamming_search, license_scan, line_rules, log_bilinear, mixing, near_dedup, quality_knn, toxicity, warc
 from .common import batched, stored, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_license_scan", license_scan.sql())
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
 SEARCH_SQL = """
 WITH d AS (SELECT DISTINCT q.vec_id AS query_id, v.vec_id,
                   len([i FOR i IN range(1, 65) IF (q.embedding[i] > 0) <> (v.embedding[i] > 0)])::INTEGER AS distance

@@ -16,8 +16,9 @@ more than it has shingles, not a number of components for each.
 
 Candidates. Texts that agree on all values of a band meet in a bucket. No bucket's pairs are all
 emitted: in each round every bucket has one centre, and each of the others that is not yet in the
-centre's class is checked against it. Once few pairs of different classes are left, all of these are
-checked. Links between texts of one class are found by no one and needed by no one.
+centre's class is checked against it. Once few pairs of different classes are left, or centres no
+longer settle most of them, all of these are checked. Before texts are compared, a pair must have sizes
+that allow the similarity and enough agreeing values. Links inside a class are neither found nor needed.
 """
 
 from __future__ import annotations
@@ -38,8 +39,13 @@ from .components import components
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 4
 #: Most rounds with one centre in each bucket.
 ROUNDS = 6
+#: Agreeing values below which a pair is not checked. Of 96 values of a pair of similarity 0.8 so few
+#: agree with a probability of 1e-6.
+AGREEING = 57
 
 _SLACK = 3.0
+#: Last bytes of signature values packed into one mark.
+_PACKED = 7
 _LEVELS = 24
 
 
@@ -110,6 +116,10 @@ def _process(text, hashes, weights, level, low, length, limit, best, value) -> N
         flat_value[place[better]] = what[better]
 
 
+def _lists(table: np.ndarray) -> pa.Array:
+    return pa.FixedSizeListArray.from_arrays(pa.array(table.reshape(-1)), table.shape[1]).cast(pa.list_(pa.int64()))
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, bounds = W.buffers(batch.column("text"))
@@ -121,6 +131,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in range(ROWS):
                 keys = W.mix(keys * W.FIRST + values[:, row::ROWS] + W.GOLDEN)
             keys += np.arange(BANDS, dtype=np.uint64) * W.GOLDEN
+            short = np.pad((values & np.uint64(0xFF)).astype(np.int64), ((0, 0), (0, -values.shape[1] % _PACKED)))
+            short = short.reshape(len(sizes), -1, _PACKED) << (8 * np.arange(_PACKED))
+            marks = short.sum(axis=2)
             both = W.mix(hashes * W.FIRST + weights.astype(np.uint64))
             np.add.at(bag[0], text, both)
             np.add.at(bag[1], text, W.mix(both ^ W.SECOND))
@@ -128,9 +141,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("row"), pa.array(sizes.astype(np.int64)),
                 pa.array(bag[0].view(np.int64)), pa.array(bag[1].view(np.int64)),
-                pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).reshape(-1)), BANDS).cast(pa.list_(pa.int64())),
+                _lists(keys.view(np.int64)), _lists(marks),
             ],
-            names=["row", "n_shingles", "bag_a", "bag_b", "bands"],
+            names=["row", "n_shingles", "bag_a", "bag_b", "bands", "marks"],
         )
 
 
@@ -149,28 +162,29 @@ def _overlaps(similarity: float):
                 _, left, right = np.intersect1d(hashes[one], hashes[two], assume_unique=True, return_indices=True)
                 common = int(np.minimum(weights[one][left], weights[two][right]).sum())
                 keep[i] = common >= similarity * (int(sizes[x]) + int(sizes[y]) - common) - 1e-9
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+            chosen = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class_a").take(chosen), batch.column("class_b").take(chosen)], names=["a", "b"]
+            )
 
     return verified
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose texts overlap enough."""
+    """Links (a, b) between the classes of those pairs (a, b, class_a, class_b) whose texts overlap enough."""
     pairs = stored(pairs.distinct())
     needed = pairs.select(F.col("a").alias("needed")).union(pairs.select("b")).distinct()
     own = stored(texts.join(small(stored(needed)), F.col("row") == F.col("needed"), "left_semi").select("row", "text"))
     left = own.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     right = own.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return stored(joined.mapInArrow(_overlaps(similarity), "a long, b long"))
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "class_a", "class_b", "text_a", "text_b")
+    return joined.mapInArrow(_overlaps(similarity), "a long, b long")
 
 
-def _classed(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """Adds the class of each node; a node without links is its own."""
-    if classes is None:
-        return buckets.withColumn("class", F.col("row"))
-    known = classes.select(F.col("node").alias("row"), "root")
-    return buckets.join(known, "row", "left").withColumn("class", F.coalesce("root", "row")).drop("root")
+def _merged(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows with their class replaced by its root."""
+    joined = rows.join(roots, F.col("class") == F.col("node"), "left")
+    return joined.withColumn("class", F.coalesce("root", "class")).drop("node", "root")
 
 
 def _open(buckets: DataFrame) -> DataFrame:
@@ -180,9 +194,18 @@ def _open(buckets: DataFrame) -> DataFrame:
 
 
 def _close_enough(similarity: float) -> Column:
-    """Sizes that allow the similarity."""
+    """Whether sizes and signatures allow the similarity."""
     fewer, more = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    return fewer >= similarity * more
+    low, high = int("7F" * _PACKED, 16), int("80" * _PACKED, 16)
+
+    def differing(place: int) -> Column:
+        """Bytes of a mark that differ: each leaves its highest bit set."""
+        bits = F.get("marks_a", F.lit(place)).bitwiseXOR(F.get("marks_b", F.lit(place)))
+        return F.bit_count((bits.bitwiseAND(low) + low).bitwiseOR(bits).bitwiseAND(high))
+
+    values = BANDS * ROWS
+    apart = sum((differing(place) for place in range(1, -(-values // _PACKED))), differing(0))
+    return (fewer >= similarity * more) & (apart <= values - AGREEING)
 
 
 def classes_of(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -191,49 +214,53 @@ def classes_of(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ``row`` must be unique. The result also has n_shingles.
     """
     signed = stored(rows.select("row", "text").mapInArrow(
-        _signed, "row long, n_shingles long, bag_a long, bag_b long, bands array<long>"
+        _signed, "row long, n_shingles long, bag_a long, bag_b long, bands array<long>, marks array<long>"
     ))
     worded = signed.where("n_shingles > 0")
     # Copies of a multiset are one node, that of the least row.
     bags = stored(worded.groupBy("bag_a", "bag_b").agg(F.min("row").alias("node"), F.count("*").alias("copies")))
-    nodes = worded.select("row", "n_shingles", "bands").join(bags.select(F.col("node").alias("row")), "row", "left_semi")
+    nodes = worded.select("row", "n_shingles", "bands", "marks").join(bags.select(F.col("node").alias("row")), "row", "left_semi")
     buckets = nodes.select("row", F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    buckets = stored(buckets.join(crowded, "bucket"))
+    buckets = stored(buckets.join(crowded, "bucket").join(nodes.select("row", "marks"), "row"))
     count = buckets.count()
-    links, found = None, None
+    buckets = buckets.withColumn("class", F.col("row"))
+    merged: list[DataFrame] = []
+    before = None
     for turn in range(ROUNDS + 1):
-        buckets = _open(_classed(buckets.drop("class"), found))
+        buckets = _open(buckets)
         each = buckets.groupBy("bucket", "class").agg(F.count("*").alias("n"))
         each = each.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
         left = each.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("same")), F.lit(0)) / 2).first()[0]
         if not left:
             break
-        last = left <= count or turn == ROUNDS
-        other = buckets.select("bucket", F.col("row").alias("b"), F.col("size").alias("size_b"), F.col("class").alias("class_b"))
+        # A further centre is worth while as long as centres settle most of what is left.
+        last = left <= count or turn == ROUNDS or (before is not None and 2 * left > before)
+        before = left
+        other = buckets.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("row", "size", "class", "marks")])
         if last:
-            own = buckets.select("bucket", F.col("row").alias("a"), F.col("size").alias("size_a"), F.col("class").alias("class_a"))
-            apart = F.col("a") < F.col("b")
+            own = buckets.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("row", "size", "class", "marks")])
+            apart = F.col("row_a") < F.col("row_b")
         else:
-            pick = F.min(F.struct(F.xxhash64("row", F.lit(turn)).alias("draw"), "row", "size", "class")).alias("own")
+            pick = F.min(F.struct(F.xxhash64("row", F.lit(turn)).alias("draw"), "row", "size", "class", "marks")).alias("own")
             own = buckets.groupBy("bucket").agg(pick).select(
-                "bucket", F.col("own.row").alias("a"), F.col("own.size").alias("size_a"), F.col("own.class").alias("class_a")
+                "bucket", *[F.col(f"own.{c}").alias(f"{c}_a") for c in ("row", "size", "class", "marks")]
             )
             apart = F.lit(True)
         same = (
             (own["bucket"] == other["bucket"]) & (F.col("class_a") != F.col("class_b")) & apart & _close_enough(similarity)
         )
-        pairs = other.join(own, same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        linked = _verified(pairs, rows, similarity)
-        links = linked if links is None else stored(links.unionByName(linked))
-        found = stored(components(links))
+        pairs = other.join(own, same).select(F.col("row_a").alias("a"), F.col("row_b").alias("b"), "class_a", "class_b")
+        merged.append(small(components(_verified(pairs, rows, similarity))))
         if last:
             break
-    same_bag = worded.select("row", "bag_a", "bag_b").join(bags, ["bag_a", "bag_b"]).select("row", "node", "copies")
-    if found is not None:
-        roots = found.select(F.col("node").alias("member"), "root")
-        same_bag = same_bag.join(roots, F.col("node") == F.col("member"), "left").withColumn("node", F.coalesce("root", "node"))
-    placed = same_bag.select(F.col("row").alias("placed"), F.col("node").alias("class"), "copies")
+        buckets = _merged(buckets, merged[-1])
+    same_bag = worded.select("row", "bag_a", "bag_b").join(bags, ["bag_a", "bag_b"]).select(
+        "row", F.col("node").alias("class"), "copies"
+    )
+    for roots in merged:
+        same_bag = _merged(same_bag, roots)
+    placed = same_bag.select(F.col("row").alias("placed"), "class", "copies")
     return signed.select("row", "n_shingles").join(placed, F.col("row") == F.col("placed"), "left").select(
         "row", "n_shingles", F.coalesce("class", "row").alias("class"), F.coalesce("copies", F.lit(1)).alias("copies")
     )

@@ -54,7 +54,7 @@ BUILT_IN_WEIGHT, LONG_TEXT = 3.0, 200
 
 _FOLD = str.maketrans(HOMOGLYPHS)
 _MARKS = re.compile(r"[­​-‏⁠﻿]")
-_MIXED = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|\b[0134578@$]+(?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[0134578@$]+\b")
+_MIXED = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|\b[0134578@$]+(?=[^\W\d_]\w)|(?<=[^\W\d_]{2})[0134578@$]+\b")
 _WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -19,7 +19,8 @@ HEADLINE = (
     "schema_evolution_versions", "latest_per_key", "record_text_key", "flatten_root", "flatten_child",
     "flatten_scalar_array", "flatten_props", "stable_parent_keys", "sync_batch", "assemble_pages",
     "page_completeness", "page_chain_audit", "manifest_validation", "high_water_mark", "ledger_dedup",
-    "run_report", "run_states", "normalized_names", "dataset_stats", "synthetic_bulk", "warehouse_runs",
+    "run_report", "run_states", "normalized_names", "dataset_stats", "warehouse_runs",
+    "incremental_runs", "stream_scd2", "staging_roundtrip",
 )
 
 

@@ -205,3 +205,46 @@ def test_core_refuses_batches_that_do_not_match(warehouse, folder):
 def test_unknown_run_field(warehouse):
     with pytest.raises(ValueError, match="color"):
         warehouse.append_run_events(1, "s", {"color": "red"})
+
+
+def test_changed_address_drops_the_checkpoint(spark, warehouse, folder):
+    source = SourceConfig("Feed", "https://a.test/s", INCREMENTAL)
+    go(warehouse, source, folder, {"items": [{"id": 1, "updated_at": "2026-01-05T00:00:00Z"}], "has_more": False})
+    _, asked = go(warehouse, source, folder, {"items": [{"id": 1, "updated_at": "2026-01-06T00:00:00Z"}]}, day=1)
+    assert asked == (INCREMENTAL, "2026-01-05T00:00:00+00:00")
+    moved = source.updated(url="https://b.test/s")
+    result, asked = go(warehouse, moved, folder, {"items": [{"id": 2, "updated_at": "2026-01-01T00:00:00Z"}]}, day=2)
+    assert asked == ("full_snapshot", None) and result.checkpoint == "2026-01-01T00:00:00+00:00"
+
+
+def test_mark_in_the_envelope(spark, warehouse, folder):
+    source = SourceConfig("Feed", "https://a.test/s", INCREMENTAL)
+    result, _ = go(warehouse, source, folder, {"updated_at": "2026-01-05T00:00:00Z", "items": [{"id": 1}]})
+    assert result.checkpoint == "2026-01-05T00:00:00+00:00"
+
+
+def test_runs_of_two_sources_with_one_number(spark, warehouse):
+    for source, status in (("a", "done"), ("b", "failed")):
+        warehouse.append_run_events(1, source, {"status": status, "filename": f"{source}.json"})
+    states = {r["source"]: (r["status"], r["filename"]) for r in run_states(warehouse.run_events).collect()}
+    assert states == {"a": ("done", "a.json"), "b": ("failed", "b.json")}
+    assert warehouse.is_finished("a", "a.json") and not warehouse.is_finished("b", "b.json")
+
+
+def test_saved_sources(spark, warehouse):
+    first = warehouse.save_source(SourceConfig("Feed", "https://a.test/s", key_fields=("id",), checkpoint="c"))
+    assert warehouse.sources() == {"Feed": first}
+    same = warehouse.save_source(SourceConfig("Feed", "https://a.test/s", key_fields=("id", "x")))
+    assert same.checkpoint == "c" and same.key_fields == ("id", "x")
+    assert warehouse.save_source(SourceConfig("Feed", "https://b.test/s")).checkpoint is None
+    with pytest.raises(ValueError):
+        warehouse.save_source(SourceConfig("Bad", "b.test"))
+    assert [r["name"] for r in warehouse.source_report().collect()] == ["Feed"]
+
+
+def test_long_keys_that_agree_in_their_beginning(spark, warehouse, folder):
+    key = "k" * 70
+    source = SourceConfig("Long", "https://a.test/s", watermark_field="")
+    go(warehouse, source, folder, [{"id": 1, f"{key}a": 1, f"{key}b": 2}])
+    row = warehouse.mart("long").first().asDict()
+    assert (row[f"{key}a"], row[f"{key}b"]) == (1, 2)

@@ -22,15 +22,15 @@ RESERVED_COLUMNS = ("valid_from", "valid_to", "is_current")
 
 
 def identifier(name: str) -> str:
-    """Table or column name for an arbitrary string."""
+    """Table or column name for an arbitrary string, never cut: long keys stay apart."""
     text = re.sub(r"[^a-z0-9]+", "_", str(name).lower()).strip("_") or "col"
     if text[0].isdigit():
         text = "c_" + text
-    return text[:IDENTIFIER_LIMIT]
+    return text
 
 
 def identifier_column(name: Column) -> Column:
-    """:func:`identifier` over a column of names."""
+    """:func:`identifier` over a column of names, cut to the length that databases allow."""
     text = F.btrim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_"), F.lit("_"))
     text = (
         F.when(text == "", "col")
@@ -47,12 +47,12 @@ def source_slug(name: Column) -> Column:
 
 
 def dimension_name(table: str) -> str:
-    return (DIMENSION_PREFIX + table)[:IDENTIFIER_LIMIT]
+    return DIMENSION_PREFIX + table
 
 
 def mart_name(dimension: str) -> str:
     """Published name of a dimension; empty when nothing is left after the prefix."""
-    name = dimension[len(DIMENSION_PREFIX):][:IDENTIFIER_LIMIT]
+    name = dimension[len(DIMENSION_PREFIX):]
     return "t_" + name if name[:1].isdigit() else name
 
 

@@ -8,8 +8,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEMO_URL = "local://demo"
-
 
 def scheme(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
@@ -45,21 +43,64 @@ def is_allowed(url: Column, allowed: Iterable[str]) -> Column:
     return F.coalesce((value != "") & (literal | named), F.lit(False))
 
 
+def without_dots(path: Column) -> Column:
+    """A path that starts with a slash, with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+
+    def step(kept: Column, part: Column) -> Column:
+        return (
+            F.when(part == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+            .when(part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+        )
+
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), step)
+    # A path that ends with a dot segment names a folder.
+    tail = F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    resolved = F.concat(F.lit("/"), F.array_join(kept, "/"), tail)
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), resolved).otherwise(path)
+
+
 def join_url(base: Column, link: Column) -> Column:
-    """Absolute form of a link found on the page at ``base``."""
+    """Absolute form of a link found on the page at ``base``; dot segments are resolved."""
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     folder = F.regexp_replace(path, r"[^/]*$", "")
     folder = F.when(folder == "", "/").otherwise(folder)
+    own, rest = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    aimed = F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme(base), F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(origin, link))
         .when(link.startswith("?"), F.concat(origin, path, link))
-        .otherwise(F.concat(origin, folder, link))
+        .otherwise(F.concat(origin, without_dots(aimed), rest))
     )
 
 
+# Parts of a Link header: a target, then parameters whose value may be quoted.
+_TARGET = r"<[^>]*>"
+_PARAMETER = r"""\s*;\s*[^\s=;,"]+(?:\s*=\s*(?:"[^"]*"|[^\s;,"]*))?"""
+
+
+def header_link(header: Column, relation: str) -> Column:
+    """Target of the first link of a Link header that has a relation; empty when there is none.
+
+    Links are separated first, then their parameters: the relation may stand at any place, and its
+    value is a list of relations in any case.
+    """
+    links = F.regexp_extract_all(F.coalesce(header, F.lit("")), F.lit(f"{_TARGET}(?:{_PARAMETER})*"), F.lit(0))
+
+    def relations(link: Column) -> Column:
+        """The value of the first parameter named rel."""
+        parameters = F.regexp_extract_all(F.regexp_replace(link, f"^{_TARGET}", ""), F.lit(_PARAMETER), F.lit(0))
+        named = F.filter(parameters, lambda text: F.lower(text).rlike(r"^\s*;\s*rel\s*="))
+        value = F.regexp_replace(F.get(named, F.lit(0)), r"^[^=]*=\s*", "")
+        return F.split(F.trim(F.lower(F.translate(value, '"', ""))), r"\s+")
+
+    wanted = F.filter(links, lambda link: F.coalesce(F.array_contains(relations(link), relation), F.lit(False)))
+    return F.coalesce(F.regexp_extract(F.get(wanted, F.lit(0)), "^<([^>]*)>", 1), F.lit(""))
+
+
 def query_param(url: Column, name: str) -> Column:
     """Value of a query parameter, NULL when it is absent."""
     pattern = rf"[?&]{name}=([^&#]*)"

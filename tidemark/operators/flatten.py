@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions import names
 from ..functions.values import double_text, json_string, uuid_text
 from ..functions.variants import EACH, get, is_array, is_object, kind, values_at
-from .shape import MAX_PATHS, Shape, discover
+from .shape import Shape, discover
 
 SPARK_TYPES = {
     "boolean": T.BooleanType(),
@@ -319,7 +319,7 @@ class Flattened:
 
 def flatten(
     records: DataFrame, source: str, batch_id: int, known: Types | None = None,
-    max_paths: int = MAX_PATHS,
+    max_paths: int | None = None,
 ) -> Flattened:
     """Flatten records into tables; ``known`` holds the column types of earlier batches."""
     tables = table_shapes(source, discover(records, "rec", max_paths))

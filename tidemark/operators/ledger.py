@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..functions.numbering import dense_ids
 from ..options import (
-    CLOSE_ON_FULL_SNAPSHOT, DELETE_POLICIES, FULL_SNAPSHOT, INCREMENTAL_UPSERT, LOAD_MODES,
+    CLOSE_ON_FULL_SNAPSHOT, DELETE_POLICIES, FULL_SNAPSHOT, INCREMENTAL_UPSERT, LOAD_MODES, READ_SETTINGS,
 )
 
 # Fields a run event may set.
@@ -74,13 +74,11 @@ def batch_gate(requests: DataFrame, ledger: DataFrame) -> DataFrame:
 def source_problem() -> Column:
     """First problem of a row of source settings, NULL when they are valid."""
     url = F.trim(F.regexp_replace("url", r"^\s+|\s+$", ""))
-    scheme, authority = urls.scheme(url), F.regexp_extract(url, r"://([^/?#]*)", 1)
-    demo = (scheme == "local") & (F.lower(authority) == "demo")
-    absolute = scheme.isin("http", "https") & (urls.host(url) != "")
+    absolute = urls.scheme(url).isin("http", "https") & (urls.host(url) != "")
     blank_watermark = F.trim(F.coalesce("watermark_field", F.lit(""))) == ""
     blank_param = F.trim(F.coalesce("incremental_param", F.lit(""))) == ""
     return (
-        F.when(~F.coalesce(demo | absolute, F.lit(False)), "url")
+        F.when(~F.coalesce(absolute, F.lit(False)), "url")
         .when(~F.coalesce(F.col("load_mode").isin(*LOAD_MODES), F.lit(False)), "load_mode")
         .when(~F.coalesce(F.col("delete_policy").isin(*DELETE_POLICIES), F.lit(True)), "delete_policy")
         .when(
@@ -120,7 +118,7 @@ def update_sources(sources: DataFrame, changes: DataFrame) -> DataFrame:
                 result = result | ~F.col(name).eqNullSafe(F.col(f"_{name}"))
         return F.coalesce(F.col("_changed"), F.lit(False)) & result
 
-    reset = differs("url", "load_mode", "incremental_param", "watermark_field")
+    reset = differs(*READ_SETTINGS)
     values = {
         name: F.when(F.col("_changed"), F.col(f"_{name}")).otherwise(F.col(name)) for name in settings
     }
@@ -135,15 +133,16 @@ def update_sources(sources: DataFrame, changes: DataFrame) -> DataFrame:
 # ---- runs ------------------------------------------------------------------------------
 
 def run_states(events: DataFrame) -> DataFrame:
-    """Last state of every run: for each field the latest value that was set."""
+    """Last state of every run of a source: for each field the latest value that was set.
+
+    Sources number their runs by themselves, so a run is known by both.
+    """
     def last(name: str) -> Column:
         value = F.col(name)
         return F.max_by(value, F.when(value.isNotNull(), F.col("seq"))).alias(name)
 
     fields = [name for name in RUN_FIELDS if name in events.columns]
-    return events.groupBy("run_id").agg(
-        F.min_by("source", "seq").alias("source"), F.min("at").alias("started"), *map(last, fields)
-    )
+    return events.groupBy("source", "run_id").agg(F.min("at").alias("started"), *map(last, fields))
 
 
 def last_successes(runs: DataFrame) -> DataFrame:

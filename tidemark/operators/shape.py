@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 
 from ..functions.variants import EACH, is_array, is_object, values_at
 
-MAX_PATHS = 2000
-
 
 @dataclass
 class Shape:
@@ -68,12 +66,13 @@ def _merge(node: Shape, dtype: T.DataType, steps: tuple, pending: _Pending) -> N
         node.scalar = True
 
 
-def discover(records: DataFrame, column: str = "rec", max_paths: int = MAX_PATHS) -> Shape:
+def discover(records: DataFrame, column: str = "rec", max_paths: int | None = None) -> Shape:
     """Merge the structure of all values of a VARIANT column.
 
     Each pass aggregates the schemas per path and kind, so values of different kinds at one
     path do not hide each other. Only schema texts reach the driver: at most three per path
-    whose kinds are mixed, and one pass is enough when there is none below the root.
+    whose kinds are mixed, and one pass is enough when there is none below the root. A caller may
+    refuse records with more than ``max_paths`` distinct paths.
     """
     root = Shape()
     paths: list[tuple] = [()]
@@ -99,8 +98,7 @@ def discover(records: DataFrame, column: str = "rec", max_paths: int = MAX_PATHS
                 node.scalar = True
             else:
                 _merge(node, _datatype(row["schema"]), paths[row["path"]], pending)
-        count = sum(1 for _ in root.walk())
-        if count > max_paths:
+        if max_paths is not None and (count := sum(1 for _ in root.walk())) > max_paths:
             raise ValueError(f"records have {count} distinct paths, more than {max_paths}")
         paths = pending.paths
     return root

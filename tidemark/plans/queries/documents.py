@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ...functions.variants import get, parse
 from ...operators.flatten import flatten
-from ...operators.watermark import high_water_mark
+from ...operators.watermark import high_water_mark, run_checkpoint
+from ...options import INCREMENTAL_UPSERT
 from ...sources.pages import empty_payload
 from ...sources.payloads import unwrap
 from .registry import query, records, table
@@ -117,47 +118,60 @@ def flatten_props(spark: SparkSession, folder: str) -> DataFrame:
 SELECT event_id AS row_index, CAST(user_id AS VARCHAR) AS code,
   CASE WHEN event_id % 3 <> 0 THEN regexp_replace(CAST(value AS VARCHAR), '\\.0$', '') END AS late,
   user_id AS amount, CAST(user_id AS DOUBLE) AS ratio,
-  CASE WHEN event_type = 'click' THEN TRUE WHEN event_type = 'view' THEN FALSE END AS flag
+  CASE WHEN event_id % 3 = 0 OR event_type = 'click' THEN TRUE WHEN event_type = 'view' THEN FALSE END AS flag
 FROM events""")
 def flatten_first_seen_types(spark: SparkSession, folder: str) -> DataFrame:
     """Columns keep the type of their first value; later values are converted to it.
 
-    ``code`` starts as text, ``late`` as null, ``amount`` whole, ``ratio`` with a fraction.
+    ``code`` starts as text, ``late`` as null, ``amount`` whole, ``ratio`` with a fraction, and
+    ``flag`` as a boolean, for every third record has one from the first on.
     """
     events = table(spark, folder, "events")
     every = F.col("event_id") % 3
     user, value = F.col("user_id").cast("string"), F.col("value").cast("string")
-    flag = F.when(F.col("event_type") == "click", "true").when(F.col("event_type") == "view", '"no"').otherwise("null")
-    first = F.col("event_id") == 0
+    flag = (
+        F.when((every == 0) | (F.col("event_type") == "click"), "true")
+        .when(F.col("event_type") == "view", '"no"').otherwise("null")
+    )
     text = F.concat(
         F.lit('{"code":'), F.when(every == 0, F.concat(F.lit('"'), user, F.lit('"'))).otherwise(user),
         F.lit(',"late":'), F.when(every == 0, "null").otherwise(value),
         F.lit(',"amount":'), F.when(every == 1, F.concat(F.lit('"'), user, F.lit('"'))).otherwise(user),
         F.lit(',"ratio":'), F.when(every == 0, F.concat(user, F.lit(".0"))).otherwise(user),
-        F.when(~first | (F.col("event_type") == "click"), F.concat(F.lit(',"flag":'), flag)).otherwise(""),
-        F.lit("}"),
-    )
-    # The first record with a flag has to carry a boolean, so leading others carry none.
-    clicks = events.where("event_type = 'click'").agg(F.min("event_id")).first()[0]
-    text = F.when(
-        F.col("event_id") < clicks, F.regexp_replace(text, r',"flag":("no"|null|true)', "")
-    ).otherwise(text)
-    rows = events.select(
-        F.col("event_id").alias("root_index"), parse(text).alias("rec"), "event_type"
+        F.lit(',"flag":'), flag, F.lit("}"),
     )
+    rows = events.select(F.col("event_id").alias("root_index"), parse(text).alias("rec"))
     flat = flatten(rows, "mixed", 1).tables["mixed"]
     return flat.select(F.col("_row_index").alias("row_index"), "code", "late", "amount", "ratio", "flag")
 
 
+@query("flatten_empty_arrays", """
+SELECT doc_id AS row_index, 'sparse' AS found_in, source AS value FROM documents WHERE doc_id % 2 = 0
+UNION ALL SELECT NULL, 'sparse_none', NULL""")
+def flatten_empty_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """An array that is empty in every record still has its table; its absence would miss the marker row."""
+    documents = table(spark, folder, "documents").where("doc_id % 2 = 0")
+    rows = records(documents, F.col("doc_id"), F.struct("source", F.array().cast("array<string>").alias("none")))
+    tables = flatten(rows, "sparse", 1).tables
+    root = tables["sparse"].select(
+        F.col("_row_index").alias("row_index"), F.lit("sparse").alias("found_in"), F.col("source").alias("value")
+    )
+    empty = tables["sparse_none"].agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
+        F.lit(None).cast("bigint").alias("row_index"), F.lit("sparse_none").alias("found_in"),
+        F.lit(None).cast("string").alias("value"),
+    )
+    return root.unionByName(empty)
+
+
 @query("envelope_unwrap", """
 SELECT conv_id, turn // 20 AS chunk,
        CASE WHEN conv_id % 3 = 2 THEN 0
             ELSE row_number() OVER (PARTITION BY conv_id, turn // 20 ORDER BY turn) - 1 END AS root_index,
-       CASE WHEN conv_id % 3 <> 2 THEN turn END AS turn
+       CASE WHEN conv_id % 3 <> 2 THEN turn END AS turn, sha256(text) AS text_sha256
 FROM conversations
 WHERE conv_id % 3 <> 2
 UNION ALL
-SELECT DISTINCT conv_id, turn // 20, 0, NULL::BIGINT FROM conversations WHERE conv_id % 3 = 2""")
+SELECT DISTINCT conv_id, turn // 20, 0, NULL::BIGINT, NULL FROM conversations WHERE conv_id % 3 = 2""")
 def envelope_unwrap(spark: SparkSession, folder: str) -> DataFrame:
     """Turns in envelopes of at most 20; an object without paging keys is one record."""
     turns = table(spark, folder, "conversations")
@@ -173,6 +187,7 @@ def envelope_unwrap(spark: SparkSession, folder: str) -> DataFrame:
     pages = chunks.select("conv_id", "chunk", parse(body).alias("body"))
     return unwrap(pages).select(
         "conv_id", "chunk", "root_index", get(F.col("rec"), ("turn",), "bigint").alias("turn"),
+        F.sha2(get(F.col("rec"), ("text",), "string"), 256).alias("text_sha256"),
     )
 
 
@@ -213,18 +228,33 @@ def watermark(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("empty_payload_checkpoint", """
+WITH m AS (SELECT strftime(date_trunc('second', max(ts)), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS mark
+           FROM events WHERE event_id % 6 = 4)
 SELECT event_id, event_id % 6 IN (0, 1, 2, 3) AS is_empty,
-       CASE WHEN event_id % 6 IN (0, 1, 2, 3) THEN 'before' END AS checkpoint
-FROM events""")
+       CASE WHEN event_id % 6 IN (0, 1, 2, 3) THEN '2020-01-01T00:00:00+00:00' WHEN event_id % 6 = 4 THEN mark END AS checkpoint
+FROM events, m""")
 def empty_payload_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
-    """Empty answers keep the checkpoint from before; ones with content need their own."""
+    """Runs over six kinds of answers: empty ones keep the checkpoint from before, one with marks gets
+    its own, and one with content but no mark has none."""
     events = table(spark, folder, "events")
     which = F.col("event_id") % 6
+    moment = F.date_format(F.date_trunc("second", F.col("ts").cast("timestamp")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     body = (
         F.when(which == 0, "[]").when(which == 1, "{}").when(which == 2, "null")
         .when(which == 3, '{"items":[],"errors":[],"total":0}')
-        .when(which == 4, F.concat(F.lit('{"items":['), "event_id", F.lit('],"errors":[]}')))
+        .when(which == 4, F.concat(F.lit('{"items":['), "event_id", F.lit('],"errors":[],"updated_at":"'), moment, F.lit('"}')))
         .otherwise(F.col("props"))
     )
-    judged = events.select("event_id", empty_payload(parse(body)).alias("is_empty"))
-    return judged.withColumn("checkpoint", F.when(F.col("is_empty"), "before"))
+    answers = events.select("event_id", which.alias("kind"), parse(body).alias("rec"))
+    answers = answers.withColumn("is_empty", empty_payload(F.col("rec")))
+    before, found = "2020-01-01T00:00:00+00:00", []
+    for kind in range(6):
+        own = answers.where(F.col("kind") == kind)
+        empty = own.agg(F.bool_and("is_empty")).first()[0]
+        try:
+            after = run_checkpoint(own.select("rec"), "updated_at", INCREMENTAL_UPSERT, before, True, bool(empty))
+        except ValueError:
+            after = None
+        found.append((kind, after))
+    marks = spark.createDataFrame(found, "kind INT, checkpoint STRING")
+    return answers.join(F.broadcast(marks), "kind").select("event_id", "is_empty", "checkpoint")

@@ -1,4 +1,4 @@
-"""Queries over ledgers, source settings, runs, slices and synthetic changes."""
+"""Queries over ledgers, source settings, runs, slices and whole tables."""
 
 from __future__ import annotations
 
@@ -14,13 +14,9 @@ from ...operators.ledger import (
 from ...operators.reconcile import missing_names
 from ...operators.watermark import column_high_water_mark
 from ...sources.slices import list_page
-from ...sources.synthetic import (
-    attributes, backfill, bulk_records, customers, dataset_stats, mutate, record_type,
-)
+from ...operators.tables import backfill, dataset_stats, first_rows
 from .registry import query, table
 
-NOW = datetime(2024, 6, 1, tzinfo=timezone.utc)
-
 
 # ---- batches ---------------------------------------------------------------------------
 
@@ -206,14 +202,14 @@ WITH runs AS (
 
 
 @query("run_report", RUNS + """,
-s AS (SELECT DISTINCT source AS name FROM runs UNION ALL SELECT 'never run')
-SELECT s.name,
-  (SELECT finished FROM runs r WHERE r.source = s.name AND r.status = 'done' ORDER BY id DESC LIMIT 1)
-    AS last_successful_run,
-  f.error AS last_error, f.step AS last_error_step, f.id AS last_error_run_id, f.started AS last_error_started
-FROM s LEFT JOIN runs f ON f.id = (
-  SELECT max(r.id) FROM runs r WHERE r.source = s.name AND r.status = 'failed'
-    AND r.id > coalesce((SELECT max(d.id) FROM runs d WHERE d.source = s.name AND d.status = 'done'), 0))""")
+facts AS (
+  SELECT source, max_by(finished, id) FILTER (status = 'done') AS last_successful_run,
+         max(id) FILTER (status = 'done') AS done, max(id) FILTER (status = 'failed') AS failed
+  FROM runs GROUP BY source)
+SELECT x.source AS name, last_successful_run, bad.error AS last_error, bad.step AS last_error_step,
+       bad.id AS last_error_run_id, bad.started AS last_error_started
+FROM facts x LEFT JOIN runs bad ON bad.id = x.failed AND (x.done IS NULL OR x.failed > x.done)
+UNION ALL SELECT 'never run', NULL, NULL, NULL, NULL, NULL""")
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
     """Per source the last success and the failure that is still open."""
     ledger = runs(spark, folder)
@@ -284,24 +280,18 @@ def checkpoint_commit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("freshness_rollup", """
-SELECT user_id, CASE WHEN count(*) FILTER (WHERE event_type = 'signup') > 2 THEN 'starting'
-  WHEN count(*) FILTER (WHERE event_type = 'error') = 0 THEN 'ok' ELSE 'degraded' END AS status
-FROM (SELECT user_id, CASE WHEN event_type = 'signup' AND user_id % 3 <> 0 THEN 'view'
-        WHEN event_type = 'error' AND user_id % 3 = 1 THEN 'view' ELSE event_type END AS event_type,
-      FROM events) x
-GROUP BY user_id
-HAVING count(*) FILTER (WHERE event_type = 'signup') = 0 OR count(*) FILTER (WHERE event_type = 'signup') > 2""")
+SELECT user_id, CASE WHEN count(*) FILTER (WHERE event_type = 'signup' AND user_id % 3 = 0) > 0 THEN 'starting'
+  WHEN count(*) FILTER (WHERE event_type = 'error' AND user_id % 3 <> 1) = 0 THEN 'ok' ELSE 'degraded' END AS status
+FROM events GROUP BY user_id""")
 def freshness_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """Users as tables: unknown updates, failed ones and good ones rolled up."""
+    """Users as tables: one unknown update is enough for ``starting``, one failed for ``degraded``."""
     kind, user = F.col("event_type"), F.col("user_id")
     states = table(spark, folder, "events").select(
         "user_id",
         F.when((kind == "signup") & (user % 3 == 0), F.lit(None).cast("boolean"))
         .otherwise(~((kind == "error") & (user % 3 != 1))).alias("healthy"),
     )
-    unknown = states.groupBy("user_id").agg(F.count_if(F.col("healthy").isNull()).alias("unknown"))
-    wanted = unknown.where("unknown = 0 OR unknown > 2").select("user_id")
-    return freshness(states.join(wanted, "user_id", "left_semi"), "user_id")
+    return freshness(states, "user_id")
 
 
 # ---- slices and marks ------------------------------------------------------------------
@@ -342,76 +332,26 @@ def documents_stats(spark: SparkSession, folder: str) -> DataFrame:
     return dataset_stats(table(spark, folder, "documents").select("doc_id", "text", "lang", "source", "n_chars"))
 
 
-@query("synthetic_mutation", """
-WITH c AS (SELECT c_custkey, c_name, c_acctbal FROM customer),
-lim AS (SELECT max(c_custkey) AS last FROM (SELECT c_custkey FROM c ORDER BY c_custkey LIMIT 20) x),
-top AS (SELECT max(c_custkey) AS top FROM c)
-SELECT c_custkey, CASE WHEN c_custkey <= last THEN c_name || ' updated' ELSE c_name END AS c_name,
-       CASE WHEN c_custkey <= last THEN '2024-06-01' END AS updated_on, c_acctbal
-FROM c, lim
-UNION ALL
-SELECT top + i, 'New customer ' || (top + i), '2024-06-01', NULL FROM top, range(1, 21) t(i)""")
-def synthetic_mutation(spark: SparkSession, folder: str) -> DataFrame:
-    """The first twenty rows by id are updated and twenty new ones added."""
-    base = table(spark, folder, "customer").select(
-        "c_custkey", "c_name", F.lit(None).cast("string").alias("updated_on"), "c_acctbal"
-    )
-    on = F.lit(NOW.date().isoformat())
-    return mutate(
-        base, "c_custkey", 20, 20,
-        changed={"c_name": F.concat("c_name", F.lit(" updated")), "updated_on": on},
-        added={"c_name": F.concat(F.lit("New customer "), "c_custkey"), "updated_on": on},
-    )
-
-
-@query("synthetic_bulk", """
-SELECT o_orderkey AS id, ['event', 'metric', 'snapshot'][CAST(o_orderkey % 3 + 1 AS INT)] AS record_type,
-  CAST(o_orderkey % 1000 AS INT) AS score, 64 AS payload_size,
-  '{"source":"mock","labels":["synthetic","bulk"],"active":' || CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END
-    || '}' AS attributes,
-  '{"version":1,"context":{"batch":' || o_orderkey // 1000 || ',"generation":"fixture","identity":{"id":' || o_orderkey
-    || '}}}' AS metadata,
-  TRUE AS created_in_range, TRUE AS updated_in_range
-FROM orders""")
-def synthetic_bulk(spark: SparkSession, folder: str) -> DataFrame:
-    """Bulk records for every order id; their times are only checked for their ranges."""
-    made = bulk_records(table(spark, folder, "orders"), "o_orderkey", 1, F.lit(NOW), 64)
-    now = F.lit(NOW)
-    return made.select(
-        "id", "record_type", "score", F.length("payload").alias("payload_size"),
-        F.to_json("attributes").alias("attributes"), F.to_json("metadata").alias("metadata"),
-        F.col("created_at").between(now - F.expr("INTERVAL 1095 DAYS"), now - F.expr("INTERVAL 365 DAYS"))
-        .alias("created_in_range"),
-        ((F.col("updated_at") >= F.col("created_at")) & (F.col("updated_at") >= now - F.expr("INTERVAL 365 DAYS"))
-         & (F.col("updated_at") <= now)).alias("updated_in_range"),
-    )
-
-
-@query("synthetic_customers", """
-SELECT c_custkey AS id, 'Customer ' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INT), '0')
-         AS name, 'customer' || c_custkey || '@example.test' AS email, TRUE AS department_in_range
-FROM customer""")
-def synthetic_customers(spark: SparkSession, folder: str) -> DataFrame:
-    made = customers(table(spark, folder, "customer"), "c_custkey", 1, F.lit(NOW), 25)
-    return made.select("id", "name", "email", F.col("department_id").between(1, 25).alias("department_in_range"))
+@query("first_ids", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 20")
+def first_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The first twenty rows by id; the limit is the operator."""
+    return first_rows(table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o_orderkey", 20)
 
 
 @query("backfill_defaults", """
-SELECT o_orderkey AS id,
-  CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus ELSE ['event', 'metric', 'snapshot'][CAST(o_orderkey % 3 + 1 AS INT)]
-    END AS record_type,
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus ELSE o_orderpriority END AS record_type,
   CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey AS INT) ELSE CAST(o_orderkey % 1000 AS INT) END AS score,
-  '{"source":"mock","labels":["synthetic","bulk"],"active":true}' AS attributes
+  '{"customer":' || o_custkey || '}' AS attributes
 FROM orders""")
 def backfill_defaults(spark: SparkSession, folder: str) -> DataFrame:
-    """Missing types, scores and attributes are filled, values that are there stay."""
+    """Missing types, scores and attributes are filled from the row, values that are there stay."""
     key = F.col("o_orderkey")
     gaps = table(spark, folder, "orders").select(
         key.alias("id"), F.when(key % 4 != 0, F.col("o_orderstatus")).alias("record_type"),
         F.when(key % 5 != 0, F.col("o_custkey").cast("int")).alias("score"),
-        F.lit(None).cast("string").alias("attributes"),
+        F.lit(None).cast("string").alias("attributes"), "o_orderpriority", "o_custkey",
     )
     return backfill(gaps, {
-        "record_type": record_type(F.col("id")), "score": (F.col("id") % 1000).cast("int"),
-        "attributes": F.to_json(attributes(F.lit(True))),
-    })
+        "record_type": F.col("o_orderpriority"), "score": (F.col("id") % 1000).cast("int"),
+        "attributes": F.to_json(F.struct(F.col("o_custkey").alias("customer"))),
+    }).drop("o_orderpriority", "o_custkey")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ...functions.names import identifier_column, source_slug
 from ...functions.urls import is_allowed, read_allowed
 from ...functions.variants import get, parse
-from ...operators.shape import Shape
-from ...sources.manifests import manifest_name, validate_manifests
+from ...session import scratch_folder
+from ...sources.manifests import MANIFEST_SUFFIX, manifest_name, read_manifests, validate_manifests
+from ...sources.masters import scan_masters
 from ...sources.pages import assemble_pages, envelope, page_chain_audit, pagination_complete, run_complete
 from ...sources.payloads import inspect_content
 from .registry import query, table
@@ -29,6 +30,10 @@ def page_rows(rows: DataFrame, key: str, item) -> DataFrame:
     )
 
 
+def whole_event():
+    return F.struct("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
 def with_totals(pages: DataFrame) -> DataFrame:
     """Add the record and page totals of each run."""
     totals = pages.groupBy("run").agg(
@@ -49,7 +54,7 @@ def as_pages(pages: DataFrame, body, url=None, header=None) -> DataFrame:
 @query("assemble_pages", """
 SELECT CAST(doc_id // 2000 AS VARCHAR) AS run_id,
        row_number() OVER (PARTITION BY doc_id // 2000 ORDER BY doc_id) - 1 AS root_index,
-       doc_id AS id, length(text) AS text_length
+       doc_id AS id, text
 FROM documents""")
 def assembled(spark: SparkSession, folder: str) -> DataFrame:
     """Documents from pages of three envelope forms, numbered through each run."""
@@ -64,7 +69,7 @@ def assembled(spark: SparkSession, folder: str) -> DataFrame:
     records = assemble_pages(as_pages(pages, body))
     return records.select(
         "run_id", "root_index", get(F.col("rec"), ("doc_id",), "bigint").alias("id"),
-        F.length(get(F.col("rec"), ("text",), "string")).alias("text_length"),
+        get(F.col("rec"), ("text",), "string").alias("text"),
     )
 
 
@@ -104,7 +109,7 @@ SELECT CAST(run AS VARCHAR) AS run_id, page_no,
 FROM pages JOIN totals USING (run)""")
 def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
     """Pages that point to further ones by totals, a nested flag or a nested cursor."""
-    pages = with_totals(page_rows(table(spark, folder, "events"), "event_id", F.col("value")))
+    pages = with_totals(page_rows(table(spark, folder, "events"), "event_id", whole_event()))
     run, page = F.col("run"), F.col("page_no")
     hint = (
         F.when((run % 3 == 1) & (page % 4 == 0), ',"meta":{"paging":[{"has_more":true}]}')
@@ -118,12 +123,9 @@ def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
 SELECT CAST(run AS VARCHAR) AS run_id, run % 2 = 0 AS pagination_complete FROM totals""")
 def run_completeness(spark: SparkSession, folder: str) -> DataFrame:
     """The last page of a run decides; every other run claims more rows than it sent."""
-    pages = with_totals(page_rows(table(spark, folder, "events"), "event_id", F.col("value")))
+    pages = with_totals(page_rows(table(spark, folder, "events"), "event_id", whole_event()))
     pages = pages.withColumn("total", F.col("total") + F.when(F.col("run") % 2 == 1, 500).otherwise(0))
-    known = Shape(fields={name: Shape(scalar=True) for name in ("total", "skip", "limit")})
-    known.fields["items"] = Shape(element=Shape(scalar=True))
-    judged = pagination_complete(as_pages(pages, offset_body()), known)
-    return run_complete(judged.drop("complete")).select("run_id", "pagination_complete")
+    return run_complete(as_pages(pages, offset_body())).select("run_id", "pagination_complete")
 
 
 @query("page_chain_audit", EVENT_PAGES + """,
@@ -151,7 +153,7 @@ SELECT CAST(e.run AS VARCHAR) AS run_id, e.page_no, e.link_kind, e.next_url,
 FROM expected e LEFT JOIN expected f ON f.run = e.run AND f.page_no = e.page_no + 1""")
 def chain_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Four kinds of links, with repeated addresses and missing links seeded in."""
-    pages = with_totals(page_rows(table(spark, folder, "events"), "event_id", F.col("value")))
+    pages = with_totals(page_rows(table(spark, folder, "events"), "event_id", whole_event()))
     run, page = F.col("run"), F.col("page_no")
     kind = run % 4
     used = F.when((page == 9) & (run % 5 == 1), F.lit(8)).otherwise(page)
@@ -164,7 +166,7 @@ def chain_audit(spark: SparkSession, folder: str) -> DataFrame:
     total = F.when(more, F.col("total")).otherwise(F.lit(0))
     body = (
         F.when(kind == 0, F.concat(
-            items, F.when(more, F.concat(F.lit(',"next":" feed?page='), page + 1, F.lit('"'))).otherwise(',"next":null'),
+            items, F.when(more, F.concat(F.lit(',"next":" ../v1/./feed?page='), page + 1, F.lit('"'))).otherwise(',"next":null'),
             F.lit("}")))
         .when(kind == 2, F.concat(
             items, F.lit(',"total":'), total, F.lit(',"skip":'), (page - 1) * PAGE_SIZE,
@@ -174,7 +176,10 @@ def chain_audit(spark: SparkSession, folder: str) -> DataFrame:
     )
     header = F.when(
         (kind == 1) & more,
-        F.concat(F.lit('<https://api.example.org/>; rel="first", </v1/feed?page='), page + 1, F.lit('>; REL="next"')),
+        F.concat(
+            F.lit('<https://api.example.org/>; rel="first", </v1/feed?page='), page + 1,
+            F.lit('>; title="a, b; c"; REL="last next"'),
+        ),
     )
     return page_chain_audit(as_pages(pages, body, url, header)).select(
         "run_id", "page_no", "link_kind", "next_url", "problem"
@@ -185,7 +190,6 @@ def chain_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 ALLOWED = """
 # hosts of the crawl
-local://demo
 *.example.com
 
 m.thther.example.org
@@ -217,7 +221,7 @@ def allowed_hosts(spark: SparkSession, folder: str) -> DataFrame:
 @query("normalized_names", """
 WITH named AS (
   SELECT p_partkey || ' ' || p_brand || '  ' || upper(p_name) || '!' AS name FROM part
-  UNION ALL SELECT url FROM pages UNION ALL SELECT left(text, 90) FROM documents),
+  UNION ALL SELECT url FROM pages UNION ALL SELECT text FROM documents),
 cut AS (SELECT name, trim(regexp_replace(lower(name), '[^a-z0-9]+', '_', 'g'), '_') AS s,
                trim(regexp_replace(lower(name), '[^\\p{L}\\p{N}-]', '_', 'g'), '_') AS g FROM named)
 SELECT name, left(CASE WHEN s = '' THEN 'col' WHEN regexp_matches(s, '^[0-9]') THEN 'c_' || s ELSE s END, 63)
@@ -225,12 +229,12 @@ SELECT name, left(CASE WHEN s = '' THEN 'col' WHEN regexp_matches(s, '^[0-9]') T
        left(CASE WHEN g = '' THEN 'source' ELSE g END, 64) AS slug
 FROM cut""")
 def normalized_names(spark: SparkSession, folder: str) -> DataFrame:
-    """Identifiers and file-name slugs of part names, addresses and headings."""
+    """Identifiers and file-name slugs of part names, addresses and whole texts."""
     named = (
         table(spark, folder, "part")
         .select(F.concat("p_partkey", F.lit(" "), "p_brand", F.lit("  "), F.upper("p_name"), F.lit("!")).alias("name"))
         .unionByName(table(spark, folder, "pages").select(F.col("url").alias("name")))
-        .unionByName(table(spark, folder, "documents").select(F.left("text", F.lit(90)).alias("name")))
+        .unionByName(table(spark, folder, "documents").select(F.col("text").alias("name")))
     )
     return named.select(
         "name", identifier_column(F.col("name")).alias("identifier"), source_slug(F.col("name")).alias("slug")
@@ -243,8 +247,8 @@ def normalized_names(spark: SparkSession, folder: str) -> DataFrame:
 WITH d AS (
   SELECT doc_id, doc_id % 17 AS fault,
          'doc_' || doc_id || '.json' AS filename,
-         CASE WHEN doc_id % 17 = 2 THEN '{' ELSE '' END || '{"id":' || doc_id || ',"lines":' || n_chars || '}' AS content,
-         text FROM documents)
+         CASE WHEN doc_id % 17 = 2 THEN '{' ELSE '' END || '{"id":' || doc_id || ',"text":' || to_json(text) || '}' AS content
+  FROM documents)
 SELECT filename,
   CASE WHEN fault <> 0 THEN strlen(content) END AS byte_size,
   CASE WHEN fault <> 0 THEN sha256(content) END AS sha256,
@@ -262,7 +266,8 @@ def manifest_validation(spark: SparkSession, folder: str) -> DataFrame:
     landed = table(spark, folder, "documents").select(
         "doc_id", fault.alias("fault"), F.concat(F.lit("doc_"), "doc_id", F.lit(".json")).alias("filename"),
         F.concat(
-            F.when(fault == 2, "{").otherwise(""), F.lit('{"id":'), "doc_id", F.lit(',"lines":'), "n_chars", F.lit("}"),
+            F.when(fault == 2, "{").otherwise(""), F.lit('{"id":'), "doc_id", F.lit(',"text":'),
+            F.get(F.split(F.to_json(F.struct("text")), '^\\{"text":', 2), F.lit(1)),
         ).cast("binary").alias("content"),
     )
 
@@ -295,3 +300,41 @@ def manifest_validation(spark: SparkSession, folder: str) -> DataFrame:
     return validate_manifests(requests, payloads, manifests).select(
         "filename", "byte_size", "sha256", "reject_reason"
     )
+
+
+@query("read_manifests", """
+SELECT 'feed_' || user_id || '.manifest.json' AS manifest_filename, user_id % 7 = 0 AS is_corrupt,
+       CASE WHEN user_id % 7 <> 0 THEN 'user ' || user_id END AS source, CASE WHEN user_id % 7 <> 0 THEN count(*) END AS byte_size
+FROM events GROUP BY user_id""")
+def manifests_read(spark: SparkSession, folder: str) -> DataFrame:
+    """A manifest for each user's events, written and read back; every seventh is not JSON."""
+    made = table(spark, folder, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    root = scratch_folder(spark)
+    made.select(
+        F.concat(
+            F.when(F.col("user_id") % 7 == 0, "{").otherwise(""),
+            F.lit('{"source":"user '), "user_id", F.lit('","byte_size":'), "n", F.lit("}"),
+        ).alias("value"),
+        F.concat(F.lit("feed_"), "user_id", F.lit(MANIFEST_SUFFIX)).alias("file"),
+    ).write.partitionBy("file").text(root)
+    return read_manifests(spark, root).select(
+        F.regexp_replace("manifest_filename", "^file=", "").alias("manifest_filename"),
+        F.col("_corrupt").isNotNull().alias("is_corrupt"), "source", "byte_size",
+    )
+
+
+@query("scan_masters", """
+SELECT s_suppkey AS user_id, s_name AS username, n_name AS code, s_acctbal > 0 AS is_active
+FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def masters_scanned(spark: SparkSession, folder: str) -> DataFrame:
+    """Departments and users written as files and scanned as masters."""
+    root = scratch_folder(spark)
+    table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("department_id"), F.col("n_name").alias("code"), F.col("n_name").alias("name"), "n_regionkey"
+    ).write.parquet(f"{root}/departments")
+    table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("username"), F.col("s_name").alias("full_name"),
+        F.col("s_nationkey").alias("department_id"), (F.col("s_acctbal") > 0).alias("is_active"), "s_acctbal",
+    ).write.parquet(f"{root}/users")
+    departments, users = scan_masters(spark, f"{root}/departments", f"{root}/users", "parquet")
+    return users.join(departments, "department_id").select("user_id", "username", "code", "is_active")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,3 +127,51 @@ def incremental_runs(spark: SparkSession, folder: str) -> DataFrame:
         counts = result.dimensions["dim_event_feed"]
         rows.append((run, result.tables["event_feed"], counts["inserted_rows"], counts["closed_rows"], result.checkpoint))
     return spark.createDataFrame(rows, "run INT, sent BIGINT, inserted BIGINT, closed BIGINT, checkpoint STRING")
+
+
+@query("reset_runs", """
+WITH c AS (SELECT c_custkey, DATE '2024-01-01' + CAST(c_custkey % 50 AS INTEGER) AS day FROM customer),
+m AS (SELECT strftime(max(day), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS mark, count(*) AS n, count(*) FILTER (WHERE day > DATE '2024-02-01') AS late
+      FROM c)
+SELECT 1 AS run, 'full_snapshot' AS asked_mode, NULL AS asked_after, n AS sent, mark AS checkpoint FROM m
+UNION ALL SELECT 2, 'incremental_upsert', mark, 0, mark FROM m
+UNION ALL SELECT 3, 'full_snapshot', NULL, late, mark FROM m""")
+def reset_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A first run, one after its checkpoint, and one whose changed address drops the checkpoint."""
+    root = scratch_folder(spark)
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    day_of = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 50).cast("int")).cast("timestamp")
+    customers = table(spark, folder, "customer").select("c_custkey", day_of.alias("updated_at"), "c_name")
+    rows, asked = [], []
+
+    def fetch_from(wanted: DataFrame):
+        def fetch(mode: str, checkpoint: str | None) -> DataFrame:
+            asked.append((mode, checkpoint))
+            since = None if checkpoint is None else F.lit(datetime.fromisoformat(checkpoint))
+            changed = changed_since(wanted, "updated_at", since)
+            item = F.struct("c_custkey", F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"), "c_name")
+            numbered = page_rows(changed, "c_custkey", item)
+            lists = numbered.withColumn("page_no", F.col("run") * 20 + F.col("page_no")).withColumn("run", F.lit(1))
+            if lists.isEmpty():
+                # A run without changes still sends its one empty page.
+                lists = spark.range(1).select(
+                    F.lit(1).alias("run"), F.lit(1).cast("bigint").alias("page_no"),
+                    F.from_json(F.lit("[]"), lists.schema["list"].dataType.simpleString()).alias("list"),
+                )
+            lowest = lists.agg(F.min("page_no")).first()[0]
+            pages = with_totals(lists.withColumn("page_no", F.col("page_no") - lowest + 1))
+            body = F.concat(
+                F.lit('{"items":'), F.to_json("list"), F.lit(',"has_more":'),
+                (F.col("page_no") < F.col("last_page")).cast("string"), F.lit("}"),
+            )
+            return as_pages(pages, body, F.concat(F.lit(f"{base}?page="), "page_no"))
+        return fetch
+
+    source = SourceConfig("mailing list", "https://api.example.org/v1", load_mode=INCREMENTAL_UPSERT, key_fields=("c_custkey",))
+    late = customers.where("updated_at > TIMESTAMP '2024-02-01 00:00:00'")
+    for run, (wanted, changes) in enumerate([(customers, {}), (customers, {}), (late, {"url": "https://api.example.org/v2"})], start=1):
+        source = source.updated(**changes)
+        base = source.url
+        result = run_source(warehouse, source, fetch_from(wanted), folder=f"{root}/landing", effective_at=DAYS[0] + timedelta(days=run))
+        rows.append((run, *asked[-1], result.tables["mailing_list"], result.checkpoint))
+    return spark.createDataFrame(rows, "run INT, asked_mode STRING, asked_after STRING, sent BIGINT, checkpoint STRING")

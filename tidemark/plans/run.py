@@ -13,13 +13,12 @@ from ..functions.names import check_root_table, dimension_name, identifier
 from ..operators.flatten import flatten
 from ..operators.history import sync_batch, sync_users
 from ..operators.reconcile import check_arrived
-from ..operators.shape import discover
 from ..operators.watermark import run_checkpoint
 from ..options import INCREMENTAL_UPSERT, PipelineError, SourceConfig
 from ..sources.landing import inspect_landing, read_manifest, write_landing
 from ..sources.manifests import validate_manifests
 from ..sources.pages import (
-    PAGE_SCHEMA, assemble_pages, empty_payload, page_chain_audit, run_complete, run_problems,
+    PAGE_SCHEMA, assemble_pages, empty_payload, page_chain_audit, run_complete,
 )
 from ..sources.payloads import scan_records
 from .store import Warehouse
@@ -69,16 +68,16 @@ def land_pages(
     raw = f"{folder}/_pages/{identifier(source.name)}-{run_id}"
     pages.write.mode("overwrite").parquet(raw)
     pages = warehouse.spark.read.schema(PAGE_SCHEMA).parquet(raw)
-    problem = run_problems(pages).where("problem IS NOT NULL").first()
-    if problem is not None:
-        raise PipelineError("extract", problem["problem"])
     broken = page_chain_audit(pages).where("problem IS NOT NULL").orderBy("page_no").first()
     if broken is not None:
         raise PipelineError("extract", f"page {broken['page_no']}: {broken['problem']}")
     state = run_complete(pages).first()
     if state is None or not state["pagination_complete"]:
         raise PipelineError("extract", "all pages must be fetched before loading")
-    records = assemble_pages(pages).select("root_index", "rec")
+    try:
+        records = assemble_pages(pages).select("root_index", "rec")
+    except ValueError as error:
+        raise PipelineError("extract", str(error)) from error
     watermark = source.watermark_field.strip()
     required = source.load_mode == INCREMENTAL_UPSERT and bool(watermark)
     one_empty = pages.agg(
@@ -87,7 +86,7 @@ def land_pages(
     try:
         checkpoint_after = run_checkpoint(
             records, watermark, load_mode, checkpoint_before, required, bool(one_empty),
-            discover(records) if required else None,
+            marks=pages.select(F.col("body").alias("rec")),
         )
     except ValueError as error:
         raise PipelineError("extract", str(error)) from error
@@ -187,7 +186,7 @@ def run_source(
         source.validate()
         check_root_table(identifier(name))
         if request is None:
-            plan = SourceConfig(**{**vars(source), "checkpoint": warehouse.checkpoint(name) or source.checkpoint})
+            plan = SourceConfig(**{**vars(source), "checkpoint": warehouse.checkpoint(name, source.read_settings) or source.checkpoint})
             load_mode, before = plan.run_plan(force_full)
         else:
             load_mode, before = request.load_mode, request.checkpoint_before
@@ -213,7 +212,7 @@ def run_source(
         check_arrived(step, map(dimension_name, tables), [row["dim_table"] for row in marts])
         step = "checkpoint"
         if after:
-            warehouse.commit_checkpoint(name, run_id, after)
+            warehouse.commit_checkpoint(name, run_id, after, source.read_settings)
         record({"status": "done", "step": "done", "finished": _now_text()})
         return RunResult(run_id, "done", batch_id, tables, dimensions, marts, after)
     except Exception as error:

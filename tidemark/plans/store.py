@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from ..functions import names
 from ..operators.flatten import SPARK_TYPES, Flattened, Types
 from ..operators.history import CLOSE, INSERT, Merge
-from ..operators.ledger import RUN_FIELDS, run_states
+from ..operators.ledger import RUN_FIELDS, run_states, source_report
 from ..operators.marts import project_mart
+from ..options import SourceConfig
 
 LEDGER = (
     "id BIGINT, loaded_at TIMESTAMP, filename STRING, source STRING, source_url STRING, "
@@ -39,7 +40,8 @@ MARTS = "dim_table STRING, mart_table STRING, version BIGINT, row_count BIGINT,
 RUN_EVENTS = "run_id BIGINT, seq BIGINT, at TIMESTAMP, source STRING, " + ", ".join(
     f"{name} STRING" for name in RUN_FIELDS
 )
-CHECKPOINTS = "source STRING, seq BIGINT, run_id BIGINT, checkpoint STRING"
+CHECKPOINTS = "source STRING, seq BIGINT, run_id BIGINT, checkpoint STRING, settings STRING"
+SOURCES = "name STRING, seq BIGINT, settings STRING"
 
 WRITERS = 4
 _Item = TypeVar("_Item")
@@ -305,17 +307,18 @@ class Warehouse:
         rows = []
         at = _now()
         for offset, fields in enumerate(events):
-            unknown = sorted(set(fields) - set(RUN_FIELDS))
-            if unknown:
-                raise ValueError(f"unsupported run field(s): {', '.join(unknown)}")
+            for name in fields:
+                if name not in RUN_FIELDS:
+                    raise ValueError(f"a run has no {name!r}")
             text = {name: None if value is None else str(value) for name, value in fields.items()}
             seq = int(at.timestamp() * 1_000_000) + offset
             rows.append({"run_id": run_id, "seq": seq, "at": at, "source": source, **text})
         self._append_log("run_events", RUN_EVENTS, rows)
 
-    def is_finished(self, filename: str) -> bool:
-        """Whether a run over a landed file went through to its end."""
-        states = run_states(self.run_events).where(F.col("filename") == filename)
+    def is_finished(self, source: str, filename: str) -> bool:
+        """Whether a run of a source over a landed file went through to its end."""
+        own = self.run_events.where(F.col("source") == source)
+        states = run_states(own).where(F.col("filename") == filename)
         return not states.where("status = 'done'").isEmpty()
 
     def next_run_id(self) -> int:
@@ -325,16 +328,49 @@ class Warehouse:
     def checkpoints(self) -> DataFrame:
         return self._read_log("checkpoints", CHECKPOINTS)
 
-    def commit_checkpoint(self, source: str, run_id: int, checkpoint: str) -> None:
+    def commit_checkpoint(self, source: str, run_id: int, checkpoint: str, settings: str | None = None) -> None:
+        """Commit a checkpoint next to the settings it was read under."""
         seq = int(_now().timestamp() * 1_000_000)
         self._append_log("checkpoints", CHECKPOINTS, [
-            {"source": source, "seq": seq, "run_id": run_id, "checkpoint": checkpoint}
+            {"source": source, "seq": seq, "run_id": run_id, "checkpoint": checkpoint, "settings": settings}
         ])
 
-    def checkpoint(self, source: str) -> str | None:
-        row = (
+    def checkpoint(self, source: str, settings: str | None = None) -> str | None:
+        """Checkpoint committed last; with ``settings`` only if it was committed under the same."""
+        last = (
             self.checkpoints.where(F.col("source") == source)
-            .agg(F.max_by("checkpoint", "seq").alias("checkpoint")).first()
+            .agg(F.max_by(F.struct("checkpoint", "settings"), "seq").alias("last")).first()["last"]
         )
-        return row["checkpoint"]
+        if last is None or (settings is not None and last["settings"] != settings):
+            return None
+        return last["checkpoint"]
+
+    # ---- sources -----------------------------------------------------------------------
+
+    def sources(self) -> dict[str, SourceConfig]:
+        """Settings of every source, as they were saved last."""
+        rows = self._read_log("sources", SOURCES).groupBy("name").agg(
+            F.max_by("settings", "seq").alias("settings")
+        ).collect()
+        read = {row["name"]: json.loads(row["settings"]) for row in rows}
+        return {
+            name: SourceConfig(**{**fields, "key_fields": tuple(fields["key_fields"])})
+            for name, fields in sorted(read.items())
+        }
+
+    def save_source(self, source: SourceConfig) -> SourceConfig:
+        """Create a source or change its settings; a change of what is read drops the checkpoint."""
+        source.validate()
+        old = self.sources().get(source.name)
+        changes = {name: value for name, value in vars(source).items() if name not in ("checkpoint", "next_run")}
+        saved = source if old is None else old.updated(**changes)
+        self._append_log("sources", SOURCES, [{
+            "name": saved.name, "seq": int(_now().timestamp() * 1_000_000), "settings": json.dumps(vars(saved)),
+        }])
+        return saved
+
+    def source_report(self) -> DataFrame:
+        """The saved sources with their last success and the failure that is still open, if any."""
+        names = self._read_log("sources", SOURCES).select("name").distinct()
+        return source_report(names, run_states(self.run_events).withColumnRenamed("run_id", "id"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from datetime import datetime, timezone
 
@@ -12,45 +13,23 @@ from ..functions.names import source_slug
 from .manifests import MANIFEST_SCHEMA
 from .payloads import scan_records
 
-DIGEST_BLOCK = 4096
-
-
 def content_digest(records: DataFrame) -> tuple[int, int, str]:
-    """Rows, JSON bytes and a SHA-256 over ``(root_index, rec)`` in position order.
+    """Rows, JSON bytes and a SHA-256 that depends on every record and its position.
 
-    Hashes are combined in blocks of consecutive positions, level by level, until one is
-    left; no task holds more than one block. The levels depend on the highest position only.
+    Each record is hashed with its position, and the hashes are combined by exclusive or: one
+    aggregation whose partial results are one row per task, in any order, with nothing moved.
     """
-    records = records.select("root_index", F.to_json("rec").alias("record"))
-    facts = records.agg(
-        F.count(F.lit(1)).alias("rows"), F.max("root_index").alias("last"),
-        F.coalesce(F.sum(F.octet_length("record")), F.lit(0)).alias("bytes"),
-    ).first()
-    if not facts["rows"]:
-        return 0, 0, _sha256_of_nothing(records.sparkSession)
-    level = records.select(
-        F.col("root_index").alias("position"), F.sha2(F.col("record").cast("binary"), 256).alias("digest"),
+    record = F.to_json("rec")
+    hashed = records.select(
+        F.octet_length(record).alias("size"),
+        F.sha2(F.concat_ws(":", F.col("root_index").cast("string"), record).cast("binary"), 256).alias("digest"),
     )
-    last = facts["last"]
-    while True:
-        level = (
-            level.groupBy(F.floor(F.col("position") / DIGEST_BLOCK).alias("block"))
-            .agg(F.array_sort(F.collect_list(F.struct("position", "digest"))).alias("parts"))
-            .select(
-                F.col("block").alias("position"),
-                F.sha2(F.array_join(F.transform(
-                    "parts", lambda part: F.concat_ws(":", part["position"], part["digest"])
-                ), ",").cast("binary"), 256).alias("digest"),
-            )
-        )
-        last //= DIGEST_BLOCK
-        if last == 0:
-            break
-    return facts["rows"], facts["bytes"], level.first()["digest"]
-
-
-def _sha256_of_nothing(spark: SparkSession) -> str:
-    return spark.range(1).select(F.sha2(F.lit("").cast("binary"), 256)).first()[0]
+    parts = [
+        F.bit_xor(F.conv(F.substring("digest", 1 + 15 * n, 15), 16, 10).cast("bigint")).alias(f"part_{n}") for n in range(4)
+    ]
+    facts = hashed.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), *parts).first()
+    combined = ":".join(str(facts[name]) for name in ("rows", "bytes", *(f"part_{n}" for n in range(4))))
+    return facts["rows"], facts["bytes"], hashlib.sha256(combined.encode()).hexdigest()
 
 
 def landing_name(spark: SparkSession, source: str) -> str:

@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 from ..functions.instants import iso_text
 
-MAX_LIMIT = 5000
-
 
 def changed_since(table: DataFrame, column: str, checkpoint: Column | None) -> DataFrame:
     """Rows changed after a checkpoint (exclusive); a plain filter, so it is pushed down."""
@@ -18,11 +16,14 @@ def changed_since(table: DataFrame, column: str, checkpoint: Column | None) -> D
 
 def list_page(
     table: DataFrame, key: str, limit: int = 1000, skip: int = 0,
-    updated: str = "updated_at", since: Column | None = None,
+    updated: str = "updated_at", since: Column | None = None, most: int | None = None,
 ) -> DataFrame:
-    """One page in key order, with the totals of its envelope on every row."""
-    if not 1 <= limit <= MAX_LIMIT:
-        raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
+    """One page in key order, with the totals of its envelope on every row.
+
+    ``most`` is the largest page a caller may ask for, if there is one.
+    """
+    if limit < 1 or (most is not None and limit > most):
+        raise ValueError("limit must be positive" if limit < 1 else f"limit must be {most} at most")
     if skip < 0:
         raise ValueError("skip must not be negative")
     changed = changed_since(table, updated, since)

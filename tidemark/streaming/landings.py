@@ -31,13 +31,22 @@ def ingest_landings(
     """Run the pipeline for every extract that landed since the last call.
 
     Extracts of one micro-batch are run in the order they were fetched. A micro-batch that is
-    replayed skips the extracts whose run is finished. Manifests are metadata, one row per
+    replayed skips the extracts whose run is finished. An extract that is incomplete or of an
+    unknown source is recorded as a failed run. Manifests are metadata, one row per
     extract, and their number per micro-batch is bounded.
     """
     def run_batch(manifests: DataFrame, _: int) -> None:
-        complete = manifests.where("pagination_complete").orderBy("fetched_at", F.col("run_id").cast("bigint"))
-        for row in complete.collect():
-            if warehouse.is_finished(row["payload_filename"]):
+        for row in manifests.orderBy("fetched_at", F.col("run_id").cast("bigint")).collect():
+            problem = (
+                "unknown source" if row["source"] not in sources
+                else None if row["pagination_complete"] else "all pages must be fetched before loading"
+            )
+            if warehouse.is_finished(row["source"], row["payload_filename"]):
+                continue
+            if problem is not None:
+                warehouse.append_run_events(int(row["run_id"]), row["source"], {
+                    "status": "failed", "step": "extract", "error": problem, "filename": row["payload_filename"],
+                })
                 continue
             request = Request(
                 row["payload_filename"], row["source"], row["run_id"], row["load_mode"],

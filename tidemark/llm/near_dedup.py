@@ -15,16 +15,19 @@ almost surely (a text whose components are not gets a later limit), so a long te
 more than it has shingles, not a number of components for each.
 
 Candidates. Texts that agree on all values of a band meet in a bucket. No bucket's pairs are all
-emitted: in each round every bucket has one centre, and each of the others that is not yet in the
-centre's class is checked against it. Once few pairs of different classes are left, or centres no
+emitted: in each round every bucket has one centre, at first the text that meets most others, and each
+of the others that is not yet in the centre's class is checked against it. Once few pairs of different classes are left, or centres no
 longer settle most of them, all of these are checked. Before texts are compared, a pair must have sizes
-that allow the similarity and enough agreeing values. Links inside a class are neither found nor needed.
+that allow the similarity, enough agreeing values, and bitmaps of its shingles that do not rule it out
+(a bit that one text has alone is a shingle that it has alone, so this loses nothing). Links inside a class are neither found nor needed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +40,15 @@ from .components import components
 
 #: Words of a shingle, least similarity, bands, values in a band.
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 4
-#: Most rounds with one centre in each bucket.
-ROUNDS = 6
+#: Most rounds with one centre in each bucket, and the share of pairs left from which there is no other.
+ROUNDS, SETTLED = 6, 0.8
 #: Agreeing values below which a pair is not checked. Of 96 values of a pair of similarity 0.8 so few
 #: agree with a probability of 1e-6.
 AGREEING = 57
 
 _SLACK = 3.0
-#: Last bytes of signature values packed into one mark.
-_PACKED = 7
 _LEVELS = 24
+_ROUNDING = 1e-9
 
 
 def shingles(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -120,6 +122,19 @@ def _lists(table: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(pa.array(table.reshape(-1)), table.shape[1]).cast(pa.list_(pa.int64()))
 
 
+def bitmaps(text: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the shingles of each text, as longs with the offsets of the texts.
+
+    A text has a power of two of bits, at least two for each shingle. A bit that only one of two texts
+    has is a shingle that only it has, so bits bound the overlap of two texts from above.
+    """
+    longs = np.maximum(1, 1 << np.ceil(np.log2(np.maximum(2 * sizes, 1) / 64)).clip(0).astype(np.int64))
+    offsets = np.concatenate([[0], np.cumsum(longs)])
+    bits = np.zeros(64 * offsets[-1], bool)
+    bits[64 * offsets[text] + (hashes & (64 * longs[text] - 1).astype(np.uint64)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view("<i8"), offsets
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, bounds = W.buffers(batch.column("text"))
@@ -131,9 +146,11 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in range(ROWS):
                 keys = W.mix(keys * W.FIRST + values[:, row::ROWS] + W.GOLDEN)
             keys += np.arange(BANDS, dtype=np.uint64) * W.GOLDEN
-            short = np.pad((values & np.uint64(0xFF)).astype(np.int64), ((0, 0), (0, -values.shape[1] % _PACKED)))
-            short = short.reshape(len(sizes), -1, _PACKED) << (8 * np.arange(_PACKED))
-            marks = short.sum(axis=2)
+            # A mark has the first byte of each value of a band (the last ones tell the component).
+            marks = np.zeros((len(sizes), BANDS), np.int64)
+            for row in range(ROWS):
+                marks |= (values[:, row::ROWS] >> np.uint64(56)).astype(np.int64) << (8 * row)
+            bits, offsets = bitmaps(text, hashes, sizes)
             both = W.mix(hashes * W.FIRST + weights.astype(np.uint64))
             np.add.at(bag[0], text, both)
             np.add.at(bag[1], text, W.mix(both ^ W.SECOND))
@@ -142,8 +159,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("row"), pa.array(sizes.astype(np.int64)),
                 pa.array(bag[0].view(np.int64)), pa.array(bag[1].view(np.int64)),
                 _lists(keys.view(np.int64)), _lists(marks),
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bits)),
             ],
-            names=["row", "n_shingles", "bag_a", "bag_b", "bands", "marks"],
+            names=["row", "n_shingles", "bag_a", "bag_b", "bands", "marks", "bits"],
         )
 
 
@@ -161,7 +179,7 @@ def _overlaps(similarity: float):
                 one, two = slice(edges[x], edges[x + 1]), slice(edges[y], edges[y + 1])
                 _, left, right = np.intersect1d(hashes[one], hashes[two], assume_unique=True, return_indices=True)
                 common = int(np.minimum(weights[one][left], weights[two][right]).sum())
-                keep[i] = common >= similarity * (int(sizes[x]) + int(sizes[y]) - common) - 1e-9
+                keep[i] = common >= similarity * (int(sizes[x]) + int(sizes[y]) - common) - _ROUNDING
             chosen = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("class_a").take(chosen), batch.column("class_b").take(chosen)], names=["a", "b"]
@@ -196,16 +214,39 @@ def _open(buckets: DataFrame) -> DataFrame:
 def _close_enough(similarity: float) -> Column:
     """Whether sizes and signatures allow the similarity."""
     fewer, more = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    low, high = int("7F" * _PACKED, 16), int("80" * _PACKED, 16)
+    low, high = int("7F" * ROWS, 16), int("80" * ROWS, 16)
 
-    def differing(place: int) -> Column:
-        """Bytes of a mark that differ: each leaves its highest bit set."""
-        bits = F.get("marks_a", F.lit(place)).bitwiseXOR(F.get("marks_b", F.lit(place)))
+    def differing(band: int) -> Column:
+        """Values of a band that differ: each leaves the highest bit of its byte set."""
+        bits = F.get("marks_a", F.lit(band)).bitwiseXOR(F.get("marks_b", F.lit(band)))
         return F.bit_count((bits.bitwiseAND(low) + low).bitwiseOR(bits).bitwiseAND(high))
 
-    values = BANDS * ROWS
-    apart = sum((differing(place) for place in range(1, -(-values // _PACKED))), differing(0))
-    return (fewer >= similarity * more) & (apart <= values - AGREEING)
+    apart = sum((differing(band) for band in range(1, BANDS)), differing(0))
+    # A pair that meets in several bands is taken in the first.
+    earlier = [
+        (F.col("band_b") > band) & (F.get("marks_a", F.lit(band)) == F.get("marks_b", F.lit(band))) for band in range(BANDS - 1)
+    ]
+    return (
+        (fewer >= similarity * more - _ROUNDING) & (apart <= BANDS * ROWS - AGREEING) & ~reduce(or_, earlier)
+        & (_overlap_bound() >= similarity * (F.col("size_a") + F.col("size_b") - _overlap_bound()) - _ROUNDING)
+    )
+
+
+def _overlap_bound() -> Column:
+    """Most shingles that two texts of similar sizes can share by their bits."""
+
+    def folded(own: str, other: str) -> Column:
+        """Bits at the length of the other's, if that is half."""
+        half = (F.size(own) / 2).cast("int")
+        both = F.zip_with(F.slice(own, 1, half), F.slice(own, half + 1, half), lambda x, y: x.bitwiseOR(y))
+        return F.when(F.size(own) > F.size(other), both).otherwise(F.col(own))
+
+    def alone(own: Column, other: Column) -> Column:
+        single = F.zip_with(own, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+        return F.aggregate(single, F.lit(0), lambda total, value: total + value)
+
+    a, b = folded("bits_a", "bits_b"), folded("bits_b", "bits_a")
+    return F.least(F.col("size_a") - alone(a, b), F.col("size_b") - alone(b, a))
 
 
 def classes_of(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -214,15 +255,18 @@ def classes_of(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ``row`` must be unique. The result also has n_shingles.
     """
     signed = stored(rows.select("row", "text").mapInArrow(
-        _signed, "row long, n_shingles long, bag_a long, bag_b long, bands array<long>, marks array<long>"
+        _signed, "row long, n_shingles long, bag_a long, bag_b long, bands array<long>, marks array<long>, bits array<long>"
     ))
     worded = signed.where("n_shingles > 0")
     # Copies of a multiset are one node, that of the least row.
     bags = stored(worded.groupBy("bag_a", "bag_b").agg(F.min("row").alias("node"), F.count("*").alias("copies")))
-    nodes = worded.select("row", "n_shingles", "bands", "marks").join(bags.select(F.col("node").alias("row")), "row", "left_semi")
-    buckets = nodes.select("row", F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
-    crowded = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    buckets = stored(buckets.join(crowded, "bucket").join(nodes.select("row", "marks"), "row"))
+    nodes = worded.select("row", "n_shingles", "bands", "marks", "bits").join(bags.select(F.col("node").alias("row")), "row", "left_semi")
+    buckets = nodes.select("row", F.col("n_shingles").alias("size"), F.posexplode("bands").alias("band", "bucket"))
+    crowded = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = stored(buckets.join(crowded, "bucket"))
+    # Texts that meet many others are in the middle of their neighbourhood, and the best first centres.
+    middle = buckets.groupBy("row").agg(F.sum("n").alias("met"))
+    buckets = stored(buckets.drop("n").join(nodes.select("row", "marks", "bits").join(middle, "row"), "row"))
     count = buckets.count()
     buckets = buckets.withColumn("class", F.col("row"))
     merged: list[DataFrame] = []
@@ -234,17 +278,18 @@ def classes_of(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         left = each.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("same")), F.lit(0)) / 2).first()[0]
         if not left:
             break
-        # A further centre is worth while as long as centres settle most of what is left.
-        last = left <= count or turn == ROUNDS or (before is not None and 2 * left > before)
+        # A further centre is worth while as long as centres settle some of what is left.
+        last = left <= count or turn == ROUNDS or (before is not None and left > SETTLED * before)
         before = left
-        other = buckets.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("row", "size", "class", "marks")])
+        other = buckets.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("row", "band", "size", "class", "marks", "bits")])
         if last:
-            own = buckets.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("row", "size", "class", "marks")])
+            own = buckets.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("row", "size", "class", "marks", "bits")])
             apart = F.col("row_a") < F.col("row_b")
         else:
-            pick = F.min(F.struct(F.xxhash64("row", F.lit(turn)).alias("draw"), "row", "size", "class", "marks")).alias("own")
+            draw = F.xxhash64("row", F.lit(turn)) if turn else -F.col("met")
+            pick = F.min(F.struct(draw.alias("draw"), "row", "size", "class", "marks", "bits")).alias("own")
             own = buckets.groupBy("bucket").agg(pick).select(
-                "bucket", *[F.col(f"own.{c}").alias(f"{c}_a") for c in ("row", "size", "class", "marks")]
+                "bucket", *[F.col(f"own.{c}").alias(f"{c}_a") for c in ("row", "size", "class", "marks", "bits")]
             )
             apart = F.lit(True)
         same = (

@@ -7,7 +7,8 @@ exception phrase do not count. The sum of the weights is normalised by the lengt
 turned into a score from 0 to 1 by a logistic curve.
 
 The lexicon and the curve are learnt from labelled rows (``learn``), at most ``SAMPLE`` of each
-class, chosen by a hash of the id. Built-in terms keep a small weight where labels are too few.
+class, chosen by a hash of the id: terms are chosen one by one, by how many toxic rows each explains
+that none before it does. Built-in terms keep a small weight where labels are too few.
 """
 
 from __future__ import annotations
@@ -45,10 +46,10 @@ EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "circus clown
 #: Labelled rows of each class that the lexicon is learnt from, at most.
 SAMPLE = 3000
 #: Terms kept at most, and the shortest and longest beginning of a word that may become one.
-TERMS, SHORTEST, LONGEST = 2000, 4, 10
-#: Toxic rows a term must be in, as a number and as a share, so that the words of a group of copies do not
-#: become terms; and its least weight: the log of how much likelier it makes a toxic row.
-LEAST_ROWS, LEAST_SHARE, LEAST_WEIGHT = 5, 0.01, 2.5
+TERMS, SHORTEST, LONGEST = 4000, 4, 10
+#: Toxic rows a term must be in, and for how many of them no better term has been found; and its least
+#: weight: the log of how much likelier it makes a toxic row.
+LEAST_ROWS, LEAST_NEW, LEAST_WEIGHT = 5, 3, 3.0
 #: Weight of built-in terms, and the number of words from which a text counts as long.
 BUILT_IN_WEIGHT, LONG_TEXT = 3.0, 200
 
@@ -179,18 +180,45 @@ def learn(labelled: DataFrame) -> Lexicon:
         counts = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
         best = (
-            counts.where(F.col("toxic") >= max(LEAST_ROWS, LEAST_SHARE * toxic))
+            counts.where(F.col("toxic") >= LEAST_ROWS)
             .withColumn("weight", weight)
             .where(F.col("weight") >= LEAST_WEIGHT)
             .orderBy(F.desc("weight"), "term")
             .limit(TERMS)
             .collect()
         )
-        weights |= {row["term"]: row["weight"] for row in best}
+        weights |= _needed(labelled.where("label = 1"), {row["term"]: row["weight"] for row in best})
     lexicon = Lexicon(weights)
     return _fitted(labelled, lexicon) if toxic and clean else lexicon
 
 
+def _needed(toxic: DataFrame, weights: dict[str, float]) -> dict[str, float]:
+    """The candidates that explain the toxic rows: again and again the term of the largest weight times
+    number of rows that no chosen term is in. Words that only stand beside a term, as in copies of a
+    toxic text, explain nothing new and are left out."""
+
+    @pandas_udf("array<string>")
+    def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([sorted(_terms(text or "") & weights.keys()) for text in texts], dtype=object)
+
+    names = sorted(weights)
+    place = {term: n for n, term in enumerate(names)}
+    rows = [row[0] for row in toxic.select(held("text")).collect()]
+    inside = np.zeros((len(rows), len(names)), np.float32)
+    for n, terms in enumerate(rows):
+        inside[n, [place[term] for term in terms]] = 1
+    weight, open_rows, chosen = np.array([weights[term] for term in names]), np.ones(len(rows), np.float32), {}
+    while len(names):
+        new = open_rows @ inside
+        best = int(np.argmax(np.where(new >= LEAST_NEW, new * weight, 0)))
+        if new[best] < LEAST_NEW:
+            break
+        chosen[names[best]] = weights[names[best]]
+        open_rows *= 1 - inside[:, best]
+    return chosen
+
+
 def _fitted(labelled: DataFrame, lexicon: Lexicon) -> Lexicon:
     """The curve that fits the labelled rows: logistic regression on the normalised sum, lightly damped."""
 

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import log_bilinear
@@ -48,7 +49,7 @@ def test_probabilities_sum_to_one(corpus, monkeypatch):
     model, rows = scored(corpus, learning, vocabulary + [""])
     assert np.allclose((10 ** model.table.astype(float)).sum(axis=1), 1, atol=1e-4)
     # The first word of a text: all known words, the end, and an unseen word of each class.
-    first = sum(10 ** (r["score"] - end) for r, end in ((r, last(model, vocabulary[r["doc_id"]])) for r in rows[:] if r["n_tokens"] == 2))
+    first = sum(10 ** (r["score"] - end) for r, end in ((r, last(model, vocabulary[r["doc_id"]])) for r in rows if r["n_tokens"] == 2))
     none = sum(10 ** r["score"] for r in rows if r["n_tokens"] == 1)
     unseen = sum(10 ** float(model.table[0, 1 + log_bilinear.WORDS + c]) * 0.1 / 10 ** model.class_logs[c] for c in range(log_bilinear.CLASSES))
     assert first + none + unseen == pytest.approx(1, abs=1e-3)
@@ -56,8 +57,6 @@ def test_probabilities_sum_to_one(corpus, monkeypatch):
 
 def last(model, word):
     """Log-probability of the end after a text of one word."""
-    import pyarrow as pa
-
     hashes, classes, _ = log_bilinear._tokens(pa.array([word]))
     unit = log_bilinear._units(hashes, classes, model.unit_words)[0]
     return float(model.table[unit, 0])

@@ -120,7 +120,7 @@ def verdicts(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -
         .alias("base_failed"),
         F.transform(F.transform("_lines", normalised), line).alias("lines"),
     ))
-    # Hosts with few texts come first in no join: the share of a host counts only beyond the fixed limit.
+    # Only lines beyond the fixed limit are compared with the size of their host.
     lines = counted.select("row", "_host", "text_key", F.explode("lines").alias("item")).select(
         "row", "_host", "text_key", "item.line", "item.words"
     )

@@ -168,20 +168,22 @@ def plan(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
     ), F.lit(0).cast("bigint"))).drop("_source", "_shard", "docs", "draw")
 
 
+def chosen(block_number: Column, of: str = "") -> Column:
+    """Whether a block of a shard is picked: ``picked`` of ``blocks`` at even distance from ``phase``."""
+    picked, phase, blocks = F.col(f"{of}picked"), F.col(f"{of}phase"), F.col(f"{of}blocks")
+    return F.floor(((block_number + 1) * picked + phase) / blocks) > F.floor((block_number * picked + phase) / blocks)
+
+
 def chosen_runs(block: int) -> Column:
     """Runs of a document's words in the picked blocks: structs of from (its word, from 0) and words."""
     first, last = F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block)
-    chosen = lambda j: (
-        F.floor(((j + 1) * F.col("picked") + F.col("phase")) / F.col("blocks"))
-        > F.floor((j * F.col("picked") + F.col("phase")) / F.col("blocks"))
-    )
 
     def run(j: Column) -> Column:
         start = F.greatest(j * block - F.col("first"), F.lit(0))
         end = F.least((j + 1) * block - F.col("first"), F.col("size"))
         return F.struct(start.alias("from"), (end - start).alias("words"))
 
-    runs = F.transform(F.filter(F.sequence(first, last), chosen), run)
+    runs = F.transform(F.filter(F.sequence(first, last), lambda j: chosen(j)), run)
     return F.when((F.col("size") > 0) & (F.col("picked") > 0), runs)
 
 
@@ -192,15 +194,18 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()))
     thin = rows.select(F.col(row).alias("row"), "doc_id", "source", size(F.col("text")).alias("size"))
     taken = plan(stored(thin), mix).where(F.col("taken") > 0).select(
-        F.col("row").alias("_taken"), "passes", chosen_runs(mix.block).alias("runs")
-    ).select(F.struct("_taken", "passes", "runs").alias(mine := fresh_name(docs, "_mine")))
+        F.struct(F.col("row").alias("_taken"), "passes", "taken", "size", "first", "picked", "phase", "blocks")
+        .alias(mine := fresh_name(docs, "_mine"))
+    )
     joined = rows.join(taken, rows[row] == taken[f"{mine}._taken"])
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    part = F.array_join(F.flatten(F.transform(
-        F.col(f"{mine}.runs"), lambda run: F.slice(words, (run["from"] + 1).cast("int"), run["words"].cast("int"))
-    )), " ")
+    # The words are the argument of the filter, so a text is cut once, whatever is picked of it.
+    part = F.array_join(F.filter(
+        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)),
+        lambda _, place: chosen(F.floor((F.col(f"{mine}.first") + place) / mix.block), f"{mine}."),
+    ), " ")
     whole = F.array_repeat(F.col("text"), F.col(f"{mine}.passes").cast("int"))
-    texts = F.when(F.size(f"{mine}.runs") > 0, F.concat(whole, F.array(part))).otherwise(whole)
+    partial = F.col(f"{mine}.taken") > F.col(f"{mine}.passes") * F.col(f"{mine}.size")
+    texts = F.when(partial, F.concat(whole, F.array(part))).otherwise(whole)
     pieces = joined.select(*[rows[c] for c in docs.columns if c != "text"], F.explode(texts).alias("text"))
     if "n_chars" in docs.columns:
         pieces = pieces.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -72,6 +72,18 @@ def test_bucket_of_many_near_copies(corpus):
     assert {row["doc_id"]: row["class_id"] for row in rows} == dict(enumerate(classes(texts)))
 
 
+def test_no_pair_is_lost_to_marks_that_agree_by_chance(corpus):
+    texts = []
+    for n in range(4000):
+        base = prose(10_000 + n, 54 + n % 40)
+        texts += [base, changed(base, 1, n)]
+    linked = [alike(bag(texts[i]), bag(texts[i + 1])) >= 0.8 for i in range(0, len(texts), 2)]
+    assert sum(linked) > 3900
+    rows = near_dedup.near_duplicates(corpus(texts)).collect()
+    found = {row["doc_id"]: row["class_id"] for row in rows}
+    assert [found[i] == found[i + 1] for i in range(0, len(texts), 2)] == linked
+
+
 def test_keep_has_the_columns_and_one_of_each(corpus):
     texts = family()
     docs = corpus(texts + texts[:3], ids=[*range(len(texts)), 0, None, None], clashing=True)

@@ -26,8 +26,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
-from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -222,12 +220,10 @@ def _close_enough(similarity: float) -> Column:
         return F.bit_count((bits.bitwiseAND(low) + low).bitwiseOR(bits).bitwiseAND(high))
 
     apart = sum((differing(band) for band in range(1, BANDS)), differing(0))
-    # A pair that meets in several bands is taken in the first.
-    earlier = [
-        (F.col("band_b") > band) & (F.get("marks_a", F.lit(band)) == F.get("marks_b", F.lit(band))) for band in range(BANDS - 1)
-    ]
+    # A pair that meets in several bands is made distinct before its texts are compared: marks cannot tell
+    # whether it met in an earlier one, for they agree by chance where the values do not.
     return (
-        (fewer >= similarity * more - _ROUNDING) & (apart <= BANDS * ROWS - AGREEING) & ~reduce(or_, earlier)
+        (fewer >= similarity * more - _ROUNDING) & (apart <= BANDS * ROWS - AGREEING)
         & (_overlap_bound() >= similarity * (F.col("size_a") + F.col("size_b") - _overlap_bound()) - _ROUNDING)
     )
 
@@ -261,7 +257,7 @@ def classes_of(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # Copies of a multiset are one node, that of the least row.
     bags = stored(worded.groupBy("bag_a", "bag_b").agg(F.min("row").alias("node"), F.count("*").alias("copies")))
     nodes = worded.select("row", "n_shingles", "bands", "marks", "bits").join(bags.select(F.col("node").alias("row")), "row", "left_semi")
-    buckets = nodes.select("row", F.col("n_shingles").alias("size"), F.posexplode("bands").alias("band", "bucket"))
+    buckets = nodes.select("row", F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(buckets.join(crowded, "bucket"))
     # Texts that meet many others are in the middle of their neighbourhood, and the best first centres.
@@ -281,7 +277,7 @@ def classes_of(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         # A further centre is worth while as long as centres settle some of what is left.
         last = left <= count or turn == ROUNDS or (before is not None and left > SETTLED * before)
         before = left
-        other = buckets.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("row", "band", "size", "class", "marks", "bits")])
+        other = buckets.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("row", "size", "class", "marks", "bits")])
         if last:
             own = buckets.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("row", "size", "class", "marks", "bits")])
             apart = F.col("row_a") < F.col("row_b")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 from tidemark.llm import line_rules
 
 from .conftest import LOWER, prose, words
@@ -68,6 +69,28 @@ def test_keep(corpus):
     assert sorted(r["doc_id"] for r in kept.collect()) == [n for n, row in enumerate(brute(made)) if row[6]]
 
 
+def test_long_lines_by_number_alone(corpus):
+    passage, short = prose(77, 60), "home about us"
+    made = [f"{passage}\n{prose(n, 30)}" for n in range(25)] + [f"{short}\n{prose(100 + n, 70)}" for n in range(25)]
+    made += [prose(1000 + n, 60) for n in range(600)]
+    docs = corpus(made)
+    # Below 5 % of the host: by the share nothing is common.
+    assert line_rules.keep(docs).count() == len(made)
+    limits = line_rules.Limits(long_line=10)
+    found = {r["doc_id"]: r for r in line_rules.verdicts(docs, limits).collect()}
+    assert sorted(found[n]["n_removed_words"] for n in range(25)) == [0] + [60] * 24
+    assert all(found[n]["n_removed_words"] == 0 for n in range(25, len(made)))
+    kept = sorted(r["doc_id"] for r in line_rules.keep(docs, limits).collect())
+    assert kept == sorted(n for n in found if found[n]["kept"])
+    assert len([n for n in kept if n < 25]) == 1 and kept[1:] == list(range(25, len(made)))
+
+
+def test_passages_in_the_hot_source_go_in_the_pipeline(spark, corpus):
+    passage = prose(77, 60)
+    made = [f"{passage}\n{prose(n, 30)}" for n in range(25)] + [prose(1000 + n, 60) for n in range(600)]
+    assert corpus_pipeline.within_rules(spark, corpus(made), "").count() == 601
+
+
 def test_repeated_ids_and_empty_table(corpus):
     text = prose(5, 60)
     found = line_rules.verdicts(corpus([text, text, text], ids=[1, 1, None])).collect()

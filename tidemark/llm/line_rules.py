@@ -7,7 +7,9 @@ frequency of lines is found on these alone.
 Lines are normalised (ASCII lower case, white space collapsed) and hashed together with the host of
 their document. A line is common if it stands in more distinct texts of the host than both limits
 allow; exact copies of a text are one text. Common lines are taken out, and a document that loses
-most of its words, or keeps very few, is rejected.
+most of its words, or keeps very few, is rejected. Lines of many words can be judged by the number of
+texts alone (``long_line``), for no share is natural for a whole passage; one of the texts then keeps it,
+so that of documents that share all their passages one is left.
 
 Null texts are empty, a null host is a host of its own, and repeated rows each get their row.
 """
@@ -34,7 +36,8 @@ _PLACE = 28
 @dataclass(frozen=True)
 class Limits:
     """Fewest words; largest share of repeated words; texts and share of a host's texts a line may be in;
-    largest share of words in common lines, and fewest words that must be left."""
+    largest share of words in common lines, and fewest words that must be left; words from which the number
+    of texts alone decides about a line (none: the share holds for all lines)."""
 
     words: int = 50
     repeated_pct: int = 50
@@ -42,6 +45,7 @@ class Limits:
     line_pct: int = 5
     removed_pct: int = 50
     left: int = 20
+    long_line: int | None = None
 
 
 def without(text: Column, characters: str) -> Column:
@@ -125,21 +129,27 @@ def verdicts(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -
         "row", "_host", "text_key", "item.line", "item.words"
     )
     frequent = (
-        lines.groupBy("line", "text_key").agg(F.first("_host").alias("_host"))
-        .groupBy("line").agg(F.count("*").alias("texts"), F.first("_host").alias("_host"))
+        lines.groupBy("line", "text_key").agg(F.first("_host").alias("_host"), F.first("words").alias("words"))
+        .groupBy("line").agg(
+            F.count("*").alias("texts"), F.first("_host").alias("_host"),
+            F.first("words").alias("words"), F.min("text_key").alias("least"),
+        )
         .where(F.col("texts") > limits.line_texts)
     )
     sizes = (
         counted.groupBy("_host", "text_key").agg(F.lit(1).alias("one"))
         .groupBy(F.col("_host").alias("_other")).agg(F.count("*").alias("host_texts"))
     )
-    common = (
-        frequent.join(sizes, F.col("_host").eqNullSafe(F.col("_other")))
-        .where(100 * F.col("texts") > limits.line_pct * F.col("host_texts"))
-        .select("line")
-    )
-    common = small(stored(common))
-    removed = lines.join(common, "line").groupBy("row").agg(F.sum("words").cast("bigint").alias("n_removed_words"))
+    placed = frequent.join(sizes, F.col("_host").eqNullSafe(F.col("_other")))
+    share = 100 * F.col("texts") > limits.line_pct * F.col("host_texts")
+    if limits.long_line is None:
+        found = lines.join(small(stored(placed.where(share).select("line"))), "line")
+    else:
+        common = placed.where(share | (F.col("words") >= limits.long_line)).select(
+            "line", F.when(~share, F.col("least")).alias("keeper")
+        )
+        found = lines.join(small(stored(common)), "line").where(~F.col("text_key").eqNullSafe(F.col("keeper")))
+    removed = found.groupBy("row").agg(F.sum("words").cast("bigint").alias("n_removed_words"))
     removed = small(stored(removed))
     n_removed = F.coalesce("n_removed_words", F.lit(0).cast("bigint"))
     depleted = (n_removed > 0) & (

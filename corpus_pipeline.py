@@ -46,8 +46,8 @@ def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources: a row for each pass over a document, partial passes cut to the picked
-    blocks; documents without words are not taken."""
+    """The mix of the sources: a row for each pass over a document, a partial pass takes a run of
+    neighbours and cuts only those at its ends; documents without words are not taken."""
     batched(spark)
     return mixing.mixed(docs)
 

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from tidemark.functions.variants import parse
 from tidemark.operators.flatten import flatten
 from tidemark.operators.shape import discover
+from tidemark.plans.queries.documents import sparse_documents
 from tidemark.sources.payloads import inspect_content, scan_document, unwrap
 
 
@@ -198,3 +199,12 @@ def test_inspection(spark):
         (True, "object", "items", 22), (True, "array", None, 3), (True, "scalar", None, 1), (False, None, None, 1),
         (False, None, None, 0), (False, None, None, 1), (True, "object", None, 12),
     ]
+
+
+def test_empty_arrays_beside_all_columns_of_all_documents(spark):
+    made = [(n, f"text {n}\n", None if n % 5 == 0 else "en", f"src{n % 3}", 6 + n) for n in range(40)]
+    documents = spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long")
+    tables = sparse_documents(documents)
+    found = tables["sparse"].select("doc_id", "text", "lang", "source", "n_chars").collect()
+    assert sorted(tuple(row) for row in found) == made
+    assert tables["sparse_none"].count() == 0

@@ -145,15 +145,22 @@ def flatten_first_seen_types(spark: SparkSession, folder: str) -> DataFrame:
     return flat.select(F.col("_row_index").alias("row_index"), "code", "late", "amount", "ratio", "flag")
 
 
+def sparse_documents(documents: DataFrame) -> dict[str, DataFrame]:
+    """Tables of all documents with all their columns, and an array that is empty in each."""
+    rows = records(documents, F.col("doc_id"), F.struct(*documents.columns, F.array().cast("array<string>").alias("none")))
+    return flatten(rows, "sparse", 1).tables
+
+
 @query("flatten_empty_arrays", """
 SELECT doc_id AS row_index, 'sparse' AS found_in, source AS value FROM documents WHERE doc_id % 2 = 0
 UNION ALL SELECT NULL, 'sparse_none', NULL""")
 def flatten_empty_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    """An array that is empty in every record still has its table; its absence would miss the marker row."""
-    documents = table(spark, folder, "documents").where("doc_id % 2 = 0")
-    rows = records(documents, F.col("doc_id"), F.struct("source", F.array().cast("array<string>").alias("none")))
-    tables = flatten(rows, "sparse", 1).tables
-    root = tables["sparse"].select(
+    """An array that is empty in every record still has its table; its absence would miss the marker row.
+
+    All documents are flattened; of the root rows the SQL states those of even ids.
+    """
+    tables = sparse_documents(table(spark, folder, "documents"))
+    root = tables["sparse"].where(F.col("_row_index") % 2 == 0).select(
         F.col("_row_index").alias("row_index"), F.lit("sparse").alias("found_in"), F.col("source").alias("value")
     )
     empty = tables["sparse_none"].agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(

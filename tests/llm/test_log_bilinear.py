@@ -70,6 +70,20 @@ def test_model_learns_what_follows(corpus):
     assert {r["doc_id"]: r["score"] for r in again} == pytest.approx({r["doc_id"]: r["score"] for r in rows}, rel=1e-6)
 
 
+def test_rare_triples_are_learnt(monkeypatch):
+    monkeypatch.setattr(log_bilinear, "STEPS", 300)
+    units = log_bilinear.UNITS
+    code = lambda far, near, unit: (far * units + near) * units + unit
+    # Beside 10**9 common triples, pairs of contexts with a follower each, counted 100 times.
+    common = {code(1, 1, 1): 10**9, code(2, 2, 2): 10**9}
+    rare = {code(n, n, n + 1): 100 for n in range(10, 60, 2)}
+    codes = np.array(sorted(common | rare))
+    table = log_bilinear.train(codes, np.array([(common | rare)[c] for c in codes]))
+    for n in range(10, 60, 2):
+        m = 10 + (n - 10 + 2) % 50
+        assert table[n * units + n, n + 1] > table[m * units + m, n + 1] + 1
+
+
 def test_nothing_to_learn_from(corpus):
     _, rows = scored(corpus, [], ["some words", None])
     assert all(row["n_known"] == 0 and row["train_tokens"] == 0 and row["base_score"] == pytest.approx(0) for row in rows)

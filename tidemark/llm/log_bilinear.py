@@ -9,8 +9,9 @@ word of a class has the share of its smoothed count in the class, an unseen one
 so the probabilities of all words and of the unseen sum to 1.
 
 The triples of units are counted over all learning rows; their number is bounded by the third power of
-``UNITS``, so the driver trains on the counts of the whole corpus, whatever its size. Counts of words
-stay a table: the most frequent (at most ``HEAD``) go to every task, the rest is joined.
+``UNITS``, so the driver trains on the counts of the whole corpus, whatever its size: every step takes
+all counted triples and the expected noise. Only the units have vectors; a word of a class has its
+class's, so the vocabulary of the context does not grow with the corpus. Counts of words stay a table: the most frequent (at most ``HEAD``) go to every task, the rest is joined.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from .common import stored
 WORDS, CLASSES = 63, 64
 UNITS = 1 + WORDS + CLASSES
 HEAD = 200_000
-#: Dimensions, training steps, triples and noise units in a step, rate of learning.
-DIMENSIONS, STEPS, BATCH, NOISE, RATE = 24, 1500, 2048, 64, 0.02
+#: Dimensions, training steps, noise units for each triple, rate of learning.
+DIMENSIONS, STEPS, NOISE, RATE = 24, 1500, 64, 0.02
 #: Added to each count.
 ALPHA = 0.1
 
@@ -136,40 +137,37 @@ def train(codes: np.ndarray, counts: np.ndarray, seed: int = 42) -> np.ndarray:
     p = {name: (scale * rng.standard_normal(shape)).astype(np.float32) for name, shape in shapes.items()}
     p |= {"far": np.eye(DIMENSIONS, dtype=np.float32) / 2, "near": np.eye(DIMENSIONS, dtype=np.float32)}
     if len(codes):
-        target = codes % UNITS
-        far, near = codes // UNITS ** 2, codes // UNITS % UNITS
-        share = np.bincount(target, weights=counts, minlength=UNITS) + 1.0
+        # Each step goes over all counted triples, and over all units as noise by their shares.
+        seen = np.bincount(codes, weights=counts, minlength=UNITS ** 3).reshape(-1, UNITS)
+        share = seen.sum(axis=0) + 1.0
         noise = share / share.sum()
         p["bias"] = np.log(noise).astype(np.float32)
         prior = np.log(NOISE * noise).astype(np.float32)
-        upto, upto_noise = np.cumsum(counts, dtype=float), np.cumsum(noise)
+        seen = (seen / seen.sum()).astype(np.float32)
+        drawn = seen.sum(axis=1, keepdims=True) * (NOISE * noise).astype(np.float32)
+        both = seen + drawn
         moments = {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in p.items()}
         for step in range(1, STEPS + 1):
-            at = np.minimum(np.searchsorted(upto, rng.random(BATCH) * upto[-1], "right"), len(codes) - 1)
-            wrong = np.minimum(np.searchsorted(upto_noise, rng.random(NOISE), "right"), UNITS - 1)
-            a, b, w = far[at], near[at], target[at]
-            va, vb = p["context"][a], p["context"][b]
-            hidden = va @ p["far"] + vb @ p["near"]
-            own = (hidden * p["unit"][w]).sum(axis=1) + p["bias"][w] - prior[w]
-            other = hidden @ p["unit"][wrong].T + p["bias"][wrong] - prior[wrong]
-            # Gradients of the log-likelihood of telling data from noise.
-            up = 1 / (1 + np.exp(np.clip(own, -50, 50))) / BATCH
-            down = -1 / (1 + np.exp(-np.clip(other, -50, 50))) / BATCH
-            side = up[:, None] * p["unit"][w] + down @ p["unit"][wrong]
-            g = {"far": va.T @ side, "near": vb.T @ side}
-            g["unit"], g["context"] = np.zeros_like(p["unit"]), np.zeros_like(p["context"])
-            np.add.at(g["unit"], w, up[:, None] * hidden)
-            np.add.at(g["unit"], wrong, down.T @ hidden)
-            np.add.at(g["context"], a, side @ p["far"].T)
-            np.add.at(g["context"], b, side @ p["near"].T)
-            g["bias"] = np.bincount(w, weights=up, minlength=UNITS).astype(np.float32)
-            g["bias"] += np.bincount(wrong, weights=down.sum(axis=0), minlength=UNITS).astype(np.float32)
+            hidden = (p["context"] @ p["far"])[:, None, :] + (p["context"] @ p["near"])[None, :, :]
+            hidden = hidden.reshape(-1, DIMENSIONS)
+            score = hidden @ p["unit"].T
+            score += p["bias"] - prior
+            # Gradients of the log-likelihood of telling data from noise: seen * (1 - s) - drawn * s.
+            np.clip(score, -50, 50, out=score)
+            np.exp(-score, out=score)
+            score += 1
+            side = seen - both / score
+            back = (side @ p["unit"]).reshape(UNITS, UNITS, DIMENSIONS)
+            back_far, back_near = back.sum(axis=1), back.sum(axis=0)
+            g = {"far": p["context"].T @ back_far, "near": p["context"].T @ back_near}
+            g["context"] = back_far @ p["far"].T + back_near @ p["near"].T
+            g["unit"], g["bias"] = side.T @ hidden, side.sum(axis=0)
             rate = np.float32(RATE * min(1.0, 2 * (1 - step / (STEPS + 1))))
             for name, (first, second) in moments.items():
                 first += 0.1 * (g[name] - first)
                 second += 0.01 * (g[name] ** 2 - second)
                 fixed = first / np.float32(1 - 0.9 ** step), second / np.float32(1 - 0.99 ** step)
-                p[name] = p[name] + rate * fixed[0] / (np.sqrt(fixed[1]) + 1e-8)
+                p[name] = p[name] + rate * fixed[0] / (np.sqrt(fixed[1]) + 1e-12)
     p = {name: value.astype(float) for name, value in p.items()}
     hidden = (p["context"] @ p["far"])[:, None, :] + (p["context"] @ p["near"])[None, :, :]
     scores = hidden.reshape(-1, DIMENSIONS) @ p["unit"].T + p["bias"]

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +38,32 @@ def stored(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def released(
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same work over batches, which gives unused memory back to the system when its task ends.
+
+    Python workers live on from task to task, and their allocators keep what the largest batch needed.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Hand free memory of the Arrow pool and of the C library back to the system, where it can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def fresh_name(rows: DataFrame, name: str) -> str:
     """A column name that the rows do not have yet, whatever the case of letters."""
     taken = {column.lower() for column in rows.columns}

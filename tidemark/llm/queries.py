@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import byte_bpe, hamming_search, license_scan, line_rules, log_bilinear, mixing, near_dedup, quality_knn, toxicity, warc
+from . import (
+    alignment, byte_bpe, hamming_search, license_scan, line_rules, log_bilinear, mixing, near_dedup, pair_bpe, quality_knn,
+    spelling, toxicity, warc,
+)
 from .common import batched, stored, training_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +21,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 RANKS = "byte_bpe_50k.tiktoken"
+ENTRIES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -182,3 +186,28 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", (~learning).alias("held_out"), "text")
     model, counts = log_bilinear.learn(docs.where(learning))
     return log_bilinear.score(docs, model, counts)
+
+
+@query("op11_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizers = alignment.load(
+        spark, public_tokenizers.path(ENTRIES), public_tokenizers.PATTERN, public_tokenizers.path(PIECES)
+    )
+    return alignment.alignment_digests(table(spark, folder, "documents"), tokenizers)
+
+
+@query("op12_pair_bpe")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    content = pair_bpe.load_vocabulary(spark, public_tokenizers.path(ENTRIES))
+    rows = pair_bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), content, public_tokenizers.PATTERN)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(pair_bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(pair_bpe.decode(F.col("ids"), content, public_tokenizers.PATTERN), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op13_spelling")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from tidemark.functions.variants import parse
-from tidemark.operators.flatten import flatten
+from tidemark.operators.flatten import first_seen_types, flatten, table_shapes
 from tidemark.operators.shape import discover
 from tidemark.plans.queries.documents import sparse_documents
 from tidemark.sources.payloads import inspect_content, scan_document, unwrap
@@ -143,6 +143,18 @@ def test_value_that_does_not_fit_fails(spark, second):
         flat.tables["s"].collect()
 
 
+def test_whole_numbers_may_be_written_with_a_point(spark):
+    texts = ['{"a":1,"b":["x"]}', '{"a":1.0}', '{"a":-2.50e1,"b":["y",null]}', '{"a":3e3}', '{"a":9007199254740993.0}']
+    flat = flatten(records(spark, texts), "s", 1)
+    assert flat.types == {"s": {"a": "bigint"}, "s_b": {"value": "text"}}
+    assert rows(flat.tables["s"], "a") == [(1,), (1,), (-25,), (3000,), (9007199254740993,)]
+
+
+def test_text_columns_need_no_second_pass(spark):
+    data = records(spark, [{"a": None, "b": "y"}, {"a": "x", "b": None}, {"c": "z"}])
+    assert first_seen_types(None, table_shapes("s", discover(data))) == {"s": {"a": "text", "b": "text", "c": "text"}}
+
+
 def test_types_inside_one_record_follow_its_order(spark):
     flat = flatten(records(spark, ['{"x":[{"v":"s"},{"v":1}]}']), "s", 1)
     assert flat.types["s_x"] == {"v": "text"}

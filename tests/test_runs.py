@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import glob
 import json
+import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -12,7 +15,9 @@ from tidemark import PipelineError, SourceConfig, Warehouse, run_source
 from tidemark.functions.variants import parse
 from tidemark.operators.ledger import run_states
 from tidemark.plans import run as runs
+from tidemark.sources import landing
 from tidemark.sources.manifests import MANIFEST_SCHEMA
+from tidemark.streaming.landings import ingest_landings
 
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 INCREMENTAL = "incremental_upsert"
@@ -202,6 +207,159 @@ def test_core_refuses_batches_that_do_not_match(warehouse, folder):
         runs.sync_core(warehouse, 1, source, INCREMENTAL, START)
 
 
+def buckets_of(warehouse, name):
+    """Files with current rows of each version of a dimension, by version and bucket."""
+    files = glob.glob(f"{warehouse.root}/core/{name}/_version=*/_current=true/_bucket=*/*.parquet")
+    return sorted({tuple(int(part.split("=")[1]) for part in file.split("/")[-4:-1:2]) for file in files})
+
+
+def written_rows(spark, warehouse, name, version):
+    return spark.read.parquet(f"{warehouse.root}/core/{name}/_version={version}").count()
+
+
+def test_small_delta_writes_only_its_buckets(spark, folder):
+    warehouse = Warehouse(spark, f"{folder}/warehouse", bucket_rows=20)
+    source = SourceConfig("s", "https://a.test/s", INCREMENTAL, watermark_field="")
+    go(warehouse, source, folder, [{"id": n, "v": "a"} for n in range(600)])
+    state = warehouse.dimension_states()["dim_s"]
+    assert state["buckets"] == 32 and len(state["parts"][1]) == 32
+    result, _ = go(warehouse, source, folder, [{"id": 3, "v": "b"}, {"id": 4, "v": "a"}, {"id": 9999, "v": "n"}], day=1)
+    counts = result.dimensions["dim_s"]
+    assert (counts["inserted_rows"], counts["closed_rows"], counts["current_rows"]) == (2, 1, 601)
+    second = [bucket for version, bucket in buckets_of(warehouse, "dim_s") if version == 2]
+    assert 1 <= len(second) <= 2
+    held = {b: n for part in state["parts"].values() for b, n in part.items()}
+    assert written_rows(spark, warehouse, "dim_s", 2) == sum(held[b] for b in second) + 2
+    # The mart is a pointer: nothing is written for it.
+    assert not os.path.exists(f"{warehouse.root}/mart") and not os.listdir(f"{warehouse.root}/work")
+    mart = warehouse.mart("s")
+    assert mart.count() == 601 and {r["id"]: r["v"] for r in mart.where("id IN (3, 4, 9999)").collect()} == {3: "b", 4: "a", 9999: "n"}
+    assert [m["row_count"] for m in result.marts] == [601]
+    found = {(r["id"], r["v"], r["is_current"]) for r in warehouse.dimension("dim_s").collect()}
+    assert found == {(n, "b" if n == 3 else "a", True) for n in range(600)} | {(3, "a", False), (9999, "n", True)}
+    # A batch in which nothing differs writes nothing and moves no version.
+    result, _ = go(warehouse, source, folder, [{"id": 3, "v": "b"}], day=2)
+    assert result.dimensions["dim_s"]["version"] == 2 and not os.path.exists(f"{warehouse.root}/core/dim_s/_version=3")
+    # A full snapshot writes the buckets of what it closes.
+    rows = [{"id": n, "v": {3: "b", 9999: "n"}.get(n, "a")} for n in [*range(600), 9999] if n != 77]
+    result, _ = go(warehouse, source, folder, rows, day=3, force_full=True)
+    assert (result.dimensions["dim_s"]["inserted_rows"], result.dimensions["dim_s"]["closed_rows"]) == (0, 1)
+    assert len([1 for version, _ in buckets_of(warehouse, "dim_s") if version == 3]) <= 1
+    assert warehouse.mart("s").where("id = 77").isEmpty() and warehouse.mart("s").count() == 600
+
+
+def test_outgrown_buckets_become_more(spark, folder):
+    warehouse = Warehouse(spark, f"{folder}/warehouse", bucket_rows=10)
+    source = SourceConfig("s", "https://a.test/s", INCREMENTAL, watermark_field="")
+    go(warehouse, source, folder, [{"id": n} for n in range(8)])
+    go(warehouse, source, folder, [{"id": n} for n in range(5, 60)], day=1)
+    state = warehouse.dimension_states()["dim_s"]
+    assert (state["buckets"], state["layout"], list(state["parts"])) == (8, 2, [2])
+    go(warehouse, source, folder, [{"id": 60}], day=2)
+    state = warehouse.dimension_states()["dim_s"]
+    assert sum(rows for part in state["parts"].values() for rows in part.values()) == state["current_rows"] == 61
+    assert sorted(r["id"] for r in warehouse.mart("s").collect()) == list(range(61))
+    assert sorted(r["id"] for r in warehouse.dimension("dim_s").collect()) == list(range(61))
+
+
+def test_rows_without_key_stay_in_their_bucket(spark, folder):
+    warehouse = Warehouse(spark, f"{folder}/warehouse", bucket_rows=2)
+    source = SourceConfig("s", "https://a.test/s", INCREMENTAL, watermark_field="", key_fields=("k",))
+    rows = [{"k": n, "v": "a"} for n in range(12)]
+    go(warehouse, source, folder, [*rows, {"k": None, "v": "x"}])
+    go(warehouse, source, folder, [{"k": None, "v": "y"}, {"k": 1, "v": "b"}], day=1)
+    found = sorted(((r["k"], r["v"], r["is_current"]) for r in warehouse.dimension("dim_s").collect()), key=repr)
+    assert found == sorted(
+        [(n, "a", n != 1) for n in range(12)] + [(None, "x", True), (None, "y", True), (1, "b", True)], key=repr
+    )
+    result, _ = go(warehouse, source, folder, rows, day=2, force_full=True)
+    assert (result.dimensions["dim_s"]["inserted_rows"], result.dimensions["dim_s"]["closed_rows"]) == (1, 3)
+    assert sorted((r["k"], r["v"]) for r in warehouse.mart("s").collect()) == [(n, "a") for n in range(12)]
+
+
+def test_columns_named_like_folders(spark, folder):
+    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    source = SourceConfig("s", "https://a.test/s", INCREMENTAL, watermark_field="")
+    go(warehouse, source, folder, [{"id": 1, "version": 7, "bucket": "b", "current": False}])
+    assert [(r["version"], r["bucket"], r["current"]) for r in warehouse.mart("s").collect()] == [(7, "b", False)]
+
+
+def test_two_sources_at_once(spark, warehouse, folder):
+    def one(name):
+        source = SourceConfig(name, f"https://a.test/{name}", watermark_field="")
+        return [go(warehouse, source, folder, [row(n, name, 9) for n in range(3)], day=day)[0] for day in range(2)]
+
+    with ThreadPoolExecutor(3) as pool:
+        results = [result for own in pool.map(one, ["a", "b", "c"]) for result in own]
+    assert sorted(r.batch_id for r in results) == sorted(r["id"] for r in warehouse.ledger.collect()) == list(range(1, 7))
+    assert sorted(r.run_id for r in results) == list(range(1, 7))
+    states = run_states(warehouse.run_events).collect()
+    assert len(states) == 6 and {r["status"] for r in states} == {"done"}
+    for name in "abc":
+        assert {r["title"] for r in warehouse.mart(name).collect()} == {name} and warehouse.mart(name).count() == 3
+
+
+def test_numbers_are_claimed_once(spark, warehouse):
+    with ThreadPoolExecutor(8) as pool:
+        taken = list(pool.map(lambda _: warehouse.claim("x", 5), range(40)))
+    assert sorted(taken) == list(range(5, 45))
+    warehouse.release("x", 7)
+    assert warehouse.claim("x", 5) == 7
+
+
+def test_logs_are_compacted(spark, warehouse):
+    schema = "n BIGINT, at TIMESTAMP, m ARRAY<STRUCT<a: INT>>"
+    stamps = [START + timedelta(microseconds=n) for n in range(50)]
+    for n, stamp in enumerate(stamps):
+        warehouse._append_log("things", schema, [{"n": n, "at": stamp, "m": [{"a": n}] if n % 2 else None}])
+        if n % 10 == 9:
+            warehouse.compact_log("things", schema, least=5)
+    names = os.listdir(f"{warehouse.root}/logs/things")
+    assert len([name for name in names if name.endswith(".included")]) == 2
+    # Files of the last snapshot are still there, those of the one before are not.
+    assert len([name for name in names if name.endswith(".json") and not name.startswith(".")]) == 10
+    found = warehouse._read_log("things", schema).orderBy("n").collect()
+    assert [(r["n"], r["at"].replace(tzinfo=timezone.utc), r["m"]) for r in found] == [
+        (n, stamp, [(n,)] if n % 2 else None) for n, stamp in enumerate(stamps)
+    ]
+
+
+def test_landing_is_digested_while_it_is_written(spark, folder, monkeypatch):
+    rows = spark.createDataFrame([(n, json.dumps({"n": n})) for n in range(20)], "root_index BIGINT, t STRING")
+    records = rows.select("root_index", parse(rows.t).alias("rec")).repartition(3)
+    monkeypatch.setattr(landing, "content_digest", None)
+    written = landing.write_landing(records, folder, "s", {"run_id": "1"})
+    monkeypatch.undo()
+    found = landing.content_digest(landing.scan_records(spark, f"{folder}/{written['payload_filename']}"))
+    assert found == (20, written["byte_size"], written["sha256"]) and written["rows"] == 20
+
+
+def test_sources_in_one_micro_batch(spark, warehouse, folder):
+    names = ["a", "b", "c"]
+    for run, (name, day) in enumerate([(name, day) for day in range(2) for name in names], start=1):
+        records = spark.createDataFrame([(n, json.dumps({"id": n, "v": f"{name}{day}"})) for n in range(4)], "root_index BIGINT, t STRING")
+        landing.write_landing(records.select("root_index", parse(records.t).alias("rec")), f"{folder}/landing", name, {
+            "run_id": str(run), "load_mode": "full_snapshot", "delete_policy": "close_on_full_snapshot", "pagination_complete": True,
+            "requested_url": f"https://a.test/{name}", "fetched_at": (START + timedelta(days=day)).isoformat(),
+        })
+    sources = {name: SourceConfig(name, f"https://a.test/{name}", watermark_field="") for name in names}
+    for _ in range(2):
+        ingest_landings(warehouse, sources, f"{folder}/landing", f"{folder}/stream-{_}").awaitTermination()
+    assert warehouse.ledger.count() == 6
+    for name in names:
+        found = warehouse.dimension(f"dim_{name}").select("v", "is_current").distinct().collect()
+        assert {tuple(r) for r in found} == {(f"{name}0", False), (f"{name}1", True)}
+
+
+def test_source_taken_away(spark, warehouse):
+    warehouse.save_source(SourceConfig("Feed", "local://demo", checkpoint="c"))
+    warehouse.remove_source("Feed")
+    assert warehouse.sources() == {} and warehouse.source_report().isEmpty()
+    with pytest.raises(ValueError, match="no such source"):
+        warehouse.remove_source("Feed")
+    assert warehouse.save_source(SourceConfig("Feed", "https://a.test/s")).checkpoint is None
+
+
 def test_unknown_run_field(warehouse):
     with pytest.raises(ValueError, match="color"):
         warehouse.append_run_events(1, "s", {"color": "red"})

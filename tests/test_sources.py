@@ -75,7 +75,7 @@ def test_link_problems(spark):
     assert links(pages(spark, [{"items": [], "total": 5, "skip": 0, "limit": 2}]))[0][2] == "no progress"
     assert links(pages(spark, [{"items": [], "has_more": True}]))[0][2] == "no progress"
     bad = pages(spark, [{"items": [1], "has_more": True}], {0: f"{BASE}?page=x"})
-    assert links(bad)[0] == ("page", None, "invalid page number")
+    assert links(bad)[0] == ("page", None, "page is not a number")
 
 
 def test_repeated_address(spark):
@@ -91,11 +91,11 @@ def test_shapes_that_do_not_fit(spark):
     assert problem({"items": [1]}, {"items": [2]}) is None
     assert problem({"rows": [1], "x": 1}, {"rows": [2]}) is None
     assert problem({"a": 1}) is None
-    assert problem({"items": [1]}, {"data": [2]}) == "different result shapes"
-    assert problem([1], {"items": [2]}) == "different result shapes"
-    assert problem({"items": [1]}, {"a": 1}) == "different result shapes"
-    assert problem({"a": [1], "b": [2]}, {"a": [1], "b": [2]}) == "different result shapes"
-    with pytest.raises(ValueError, match="different result shapes"):
+    assert problem({"items": [1]}, {"data": [2]}) == "pages differ in shape"
+    assert problem([1], {"items": [2]}) == "pages differ in shape"
+    assert problem({"items": [1]}, {"a": 1}) == "pages differ in shape"
+    assert problem({"a": [1], "b": [2]}, {"a": [1], "b": [2]}) == "pages differ in shape"
+    with pytest.raises(ValueError, match="pages differ in shape"):
         assemble_pages(pages(spark, [{"items": [1]}, {"data": [2]}]))
 
 

@@ -27,6 +27,9 @@ SPARK_TYPES = {
 # Column types by table, in column order.
 Types = dict[str, dict[str, str]]
 
+#: Schema of whole numbers beyond 64 bits.
+BEYOND = r"^DECIMAL\((19|2\d|3\d),0\)$"
+
 _TRUE = ("t", "true", "y", "yes", "on", "1")
 _FALSE = ("f", "false", "n", "no", "off", "0")
 
@@ -36,12 +39,13 @@ class Cell:
     """A path that feeds a column.
 
     ``holds`` is False where only nulls can be cells, ``mixed`` is True where structure was
-    seen too.
+    seen too, ``text`` where every value is text or null.
     """
 
     path: tuple
     holds: bool
     mixed: bool
+    text: bool = False
 
     def of(self, value: Column) -> Column:
         return get(value, self.path) if self.path else value
@@ -66,7 +70,7 @@ def _column_type(schema: str) -> str:
     if schema in ("BIGINT", "BOOLEAN"):
         return schema.lower()
     # A whole number beyond 64 bits: storing it will fail instead of losing digits.
-    return "bigint" if re.fullmatch(r"DECIMAL\((19|2\d|3\d),0\)", schema) else "double"
+    return "bigint" if re.fullmatch(BEYOND, schema) else "double"
 
 
 @dataclass
@@ -99,8 +103,10 @@ def table_shapes(source: str, shape: Shape) -> dict[str, TableShape]:
 
     def add(table: str, node: Shape, steps: tuple, parent: Feed | None) -> None:
         # A record or element that is not an object is kept as "value".
-        own = Cell((), node.scalar or node.element is not None, True)
-        feed = Feed(table, steps, parent, {"value": [own]})
+        only_text = node.kinds == {"string"} and node.fields is None and node.element is None
+        own = Cell((), node.scalar or node.element is not None, True, only_text)
+        # Records that are null would have been seen as scalars, elements that are null need not.
+        feed = Feed(table, steps, parent, {"value": [own]} if own.holds or parent is not None else {})
         tables.setdefault(table, TableShape(table)).feeds.append(feed)
         fields(node, (), "", feed)
 
@@ -110,7 +116,10 @@ def table_shapes(source: str, shape: Shape) -> dict[str, TableShape]:
             column = names.identifier(f"{prefix}_{key}" if prefix else key)
             path = (*keys, key)
             feed.columns.setdefault(column, []).append(
-                Cell(path, child.scalar, child.fields is not None or child.element is not None)
+                Cell(
+                    path, child.scalar, child.fields is not None or child.element is not None,
+                    child.kinds == {"string"} and child.fields is None and child.element is None,
+                )
             )
             if child.fields is not None:
                 fields(child, path, column, feed)
@@ -129,19 +138,22 @@ def first_seen_types(
 ) -> Types:
     """Type every column by the first value met in record order; a null counts as text.
 
-    Types already in ``known`` stay. Columns that never hold a cell are left out. One
-    aggregation without grouping finds all of them; it returns one row.
+    Types already in ``known`` stay. Columns that never hold a cell are left out, and those whose cells
+    are text or null only are text whichever comes first. One aggregation without grouping finds all
+    others; it returns one row.
     """
     known = known or {}
     candidates: list[tuple[str, str, tuple, Cell]] = []
+    plain: dict[tuple[str, str], bool] = {}
     for table in tables.values():
         for feed in table.feeds:
             for column, cells in feed.columns.items():
                 if column not in known.get(table.name, {}):
                     candidates += [(table.name, column, feed.steps, cell) for cell in cells]
+                    place = (table.name, column)
+                    plain[place] = plain.get(place, True) and all(cell.text for cell in cells)
     types: Types = {table: dict(known.get(table, {})) for table in tables}
-    if not candidates:
-        return types
+    every, candidates = candidates, [item for item in candidates if not plain[item[:2]]]
 
     def first_in_record(steps: tuple, cell: Cell) -> Column:
         if not steps:
@@ -149,7 +161,7 @@ def first_seen_types(
         schemas = F.transform(values_at(F.col("rec"), steps), cell.schema)
         return F.get(F.array_compact(schemas), F.lit(0))
 
-    firsts = records.select("root_index", *[
+    firsts = {} if not candidates else records.select("root_index", *[
         first_in_record(steps, cell).alias(f"cell {index}")
         for index, (_, _, steps, cell) in enumerate(candidates)
     ]).agg(*[
@@ -163,8 +175,12 @@ def first_seen_types(
         if first is not None:
             found = (first["root_index"], index, first["schema"])
             earliest[table, column] = min(found, earliest.get((table, column), found))
-    for table, column, _, _ in candidates:
-        if (table, column) in earliest and column not in types[table]:
+    for table, column, _, _ in every:
+        if column in types[table]:
+            continue
+        if plain[table, column]:
+            types[table][column] = "text"
+        elif (table, column) in earliest:
             types[table][column] = _column_type(earliest[table, column][2])
     return types
 
@@ -184,12 +200,16 @@ def typed_cell(value: Column, schema: Column, dtype: str, where: str) -> Column:
             .when(empty, F.lit(None)).otherwise(F.to_json(value))
         )
     if dtype == "bigint":
+        # A real number that is whole, as 1.0, loses nothing; one with a fraction fails.
+        exact = get(value, (), "decimal(38,9)")
+        real = schema.isin("DOUBLE", "FLOAT") | schema.startswith("DECIMAL")
         whole = (
             F.when(schema == "BIGINT", get(value, (), "bigint"))
             .when(
                 (schema == "STRING") & text.rlike(r"^\s*[+-]?\d+\s*$"),
                 F.trim(text).try_cast("bigint"),
             )
+            .when(real & (exact % 1 == 0) & ~schema.rlike(BEYOND), exact.try_cast("bigint"))
         )
         return F.when(~empty, F.coalesce(whole, misfit))
     if dtype == "double":

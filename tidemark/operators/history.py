@@ -6,7 +6,7 @@ Versions are half-open, ``valid_from <= t < valid_to``. Closing sets ``valid_to`
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -75,6 +75,99 @@ def _null_safe_key(key: Column, salt: Column | None = None) -> Column:
     return F.when(key.isNotNull(), F.concat(F.lit("k"), key)).otherwise(spread)
 
 
+def sent_keys(batch: DataFrame) -> DataFrame:
+    """What a merge needs to know of a keyed batch before any wide row moves.
+
+    ``_join_key``, ``_new_hash`` and ``_row`` (which row it is) of the row that counts for each key. A batch
+    with ``_row_index`` may repeat keys and the last row counts; one without it comes from a table whose
+    key is unique.
+    """
+    narrow = batch.withColumn("_join_key", _null_safe_key(F.col("_business_key")))
+    if "_row_index" in batch.columns:
+        narrow = latest_per_key(narrow.select("_join_key", "_content_hash", "_row_index", "_row_id"), "_join_key")
+    return narrow.select("_join_key", F.col("_content_hash").alias("_new_hash"), _row_of(batch).alias("_row"))
+
+
+def _row_of(batch: DataFrame) -> Column:
+    return F.col("_row_id") if "_row_index" in batch.columns else _null_safe_key(F.col("_business_key"))
+
+
+def current_versions(dimension: DataFrame) -> DataFrame:
+    """Current rows with the key they are joined on."""
+    salt = F.pmod(F.xxhash64("_sk"), F.lit(NULL_SALTS))
+    return dimension.where("is_current").withColumn("_join_key", _null_safe_key(F.col("_business_key"), salt))
+
+
+def decide(
+    current: DataFrame, sent: DataFrame, closes_missing: bool, *carried: str, sent_columns: Sequence[str] = ()
+) -> DataFrame:
+    """Keys that change: ``_join_key``, ``_row`` of the batch, ``_closes``, ``_opens``, and carried columns
+    of the current rows and of what was sent. Only keys and hashes go through this join."""
+    held = current.select("_join_key", F.col("_content_hash").alias("_old_hash"), *carried)
+    # Without closing what is missing, only keys that were sent can change.
+    pairs = held.join(sent, "_join_key", "full_outer" if closes_missing else "right_outer")
+    differs = ~F.col("_old_hash").eqNullSafe(F.col("_new_hash"))
+    in_dimension, in_batch = F.col("_old_hash").isNotNull(), F.col("_new_hash").isNotNull()
+    closes = in_dimension & ((in_batch & differs) | (~in_batch & F.lit(closes_missing)))
+    opens = in_batch & differs
+    flags = (closes.alias("_closes"), opens.alias("_opens"))
+    return pairs.select("_join_key", "_row", *flags, *carried, *sent_columns).where(
+        "_closes OR _opens"
+    )
+
+
+def after_closing(
+    current: DataFrame, decided: DataFrame, columns: list[str], closes_missing: bool, effective_at: Column,
+    few: bool = False,
+) -> DataFrame:
+    """Current rows after the merge: as they are, or closed. ``few`` says that few keys were counted."""
+    # NULL keys match nothing: they are closed if missing ones are.
+    closing = decided.where(F.col("_closes") & F.col("_join_key").startswith("k"))
+    closing = closing.select("_join_key", F.lit(True).alias("_closing"))
+    joined = current.join(F.broadcast(closing) if few else closing, "_join_key", "left")
+    gone = F.when(F.col("_business_key").isNull(), F.lit(closes_missing)).otherwise(F.coalesce("_closing", F.lit(False)))
+    return joined.select(*_version(columns, gone, effective_at, lambda name: F.col(f"`{name}`")))
+
+
+def opened_versions(
+    batch: DataFrame, columns: list[str], types: Mapping[str, T.DataType], effective_at: Column,
+    decided: DataFrame | None = None, few: bool = False,
+) -> DataFrame:
+    """New versions of the rows of a keyed batch that open one; without decisions of all its latest rows."""
+    if decided is not None:
+        rows = decided.where("_opens").select(F.col("_row").alias("_opening"))
+        chosen = batch.join(F.broadcast(rows) if few else rows, _row_of(batch) == F.col("_opening"), "left_semi")
+    elif "_row_index" in batch.columns:
+        keyed_rows = batch.withColumn("_join_key", _null_safe_key(F.col("_business_key")))
+        chosen = latest_per_key(keyed_rows, "_join_key")
+    else:
+        chosen = batch
+    return _opened(chosen, columns, types, effective_at).select(*columns, F.lit(INSERT).alias("_change"))
+
+
+def surrogate_key(key: Column, effective_at: Column) -> Column:
+    """Key of the version that opens at an instant; rows without a key share one."""
+    return F.md5(F.concat_ws("|", F.coalesce(key, F.lit("")), key.isNull().cast("string"), F.unix_micros(effective_at)))
+
+
+def _opened(rows: DataFrame, columns: list[str], types: Mapping[str, T.DataType], effective_at: Column) -> DataFrame:
+    """The rows as versions that open at an instant, with the columns of the dimension."""
+    opened = {
+        "_sk": surrogate_key(F.col("_business_key"), effective_at),
+        "valid_from": effective_at, "valid_to": F.lit(None).cast("timestamp"),
+        "is_current": F.lit(True),
+    }
+    kept = [name for name in ("_join_key",) if name in rows.columns]
+    return rows.withColumns(opened).select(
+        *kept,
+        *[
+            (F.col(f"`{name}`") if name in rows.columns or name in opened else F.lit(None))
+            .cast(types[name]).alias(name)
+            for name in columns
+        ],
+    )
+
+
 def merge_keyed(
     dimension: DataFrame | None, batch: DataFrame, load_mode: str, delete_policy: str,
     effective_at: datetime, plan: str = "auto",
@@ -85,11 +178,11 @@ def merge_keyed(
     ``_row_index`` may repeat keys and the last row counts; one without it comes
     from a table whose key is unique.
 
-    Two plans give the same result. ``outer`` joins both sides once, which suits a batch
-    about as large as the dimension. ``delta`` joins the current rows with only the keys and
-    hashes of the batch, and the batch with the versions those keys pick: when the keys are
-    under the session's broadcast threshold the planner ships them to the dimension, which
-    then is not shuffled; beyond it, it sorts and merges.
+    Two plans give the same result. ``outer`` joins keys and hashes of both sides in full, which
+    suits a batch about as large as the dimension, and fetches rows for what closes or opens. ``delta``
+    joins the current rows with only the keys and hashes of the batch, and the batch with the versions
+    those keys pick: when the keys are under the session's broadcast threshold the planner ships them to
+    the dimension, which then is not shuffled; beyond it, it sorts and merges.
     ``auto`` takes ``delta`` for incremental batches.
     """
     check_options(load_mode, delete_policy)
@@ -100,63 +193,29 @@ def merge_keyed(
     dimension = empty_dimension(batch.sparkSession, rows) if is_new else evolve_dimension(dimension, rows)
     columns = dimension.columns
     types = {item.name: item.dataType for item in dimension.schema}
-
-    current = dimension.where("is_current").withColumn(
-        "_join_key", _null_safe_key(F.col("_business_key"), F.pmod(F.xxhash64("_sk"), F.lit(NULL_SALTS)))
-    )
-    latest = batch.withColumn("_join_key", _null_safe_key(F.col("_business_key")))
-    if "_row_index" in batch.columns:
-        latest = latest_per_key(latest, "_join_key")
-    opened = {
-        "_sk": F.md5(F.concat_ws(
-            "|", F.coalesce(F.col("_business_key"), F.lit("")),
-            F.col("_business_key").isNull().cast("string"), F.unix_micros(at),
-        )),
-        "valid_from": at, "valid_to": F.lit(None).cast("timestamp"),
-        "is_current": F.lit(True),
-    }
-    fresh = latest.withColumns(opened).select(
-        "_join_key",
-        *[
-            (F.col(name) if name in batch.columns or name in opened else F.lit(None))
-            .cast(types[name]).alias(name)
-            for name in columns
-        ],
-    )
     if is_new:
         # A filter that is never true is planned away, so a first load reads the batch once.
-        nothing = fresh.select(*columns).where(F.lit(False))
-        return Merge(nothing, fresh.select(*columns, F.lit(INSERT).alias("_change")))
-    if plan == "auto":
-        plan = "delta" if load_mode == INCREMENTAL_UPSERT else "outer"
-    build = _delta_changes if plan == "delta" else _outer_changes
-    changes = build(current, fresh, columns, closes_missing, at)
+        fresh = opened_versions(batch, columns, types, at)
+        return Merge(fresh.select(*columns).where(F.lit(False)), fresh)
+    current = current_versions(dimension)
+    if plan == "delta" or (plan == "auto" and load_mode == INCREMENTAL_UPSERT):
+        changes = _delta_changes(current, batch, columns, types, closes_missing, at)
+    else:
+        decided = decide(current, sent_keys(batch), closes_missing)
+        changes = after_closing(current, decided, columns, closes_missing, at).unionByName(
+            opened_versions(batch, columns, types, at, decided)
+        )
     return Merge(dimension.where("NOT is_current"), changes)
 
 
-def _outer_changes(
-    current: DataFrame, fresh: DataFrame, columns: list[str], closes_missing: bool,
-    effective_at: Column,
-) -> DataFrame:
-    pairs = current.select("_join_key", F.struct(*columns).alias("d")).join(
-        fresh.select("_join_key", F.struct(*columns).alias("s")), "_join_key", "full_outer"
-    )
-    in_dimension, in_batch = F.col("d").isNotNull(), F.col("s").isNotNull()
-    differs = ~F.col("d._content_hash").eqNullSafe(F.col("s._content_hash"))
-    # With one side missing the comparison is not NULL, so the flags never are either.
-    closing = in_dimension & ((in_batch & differs) | (~in_batch & F.lit(closes_missing)))
-    old = F.struct(*_version(columns, closing, effective_at, lambda name: F.col(f"d.`{name}`")))
-    new = F.struct(
-        *[F.col(f"s.`{name}`").alias(name) for name in columns], F.lit(INSERT).alias("_change")
-    )
-    versions = F.array(F.when(in_dimension, old), F.when(in_batch & (~in_dimension | differs), new))
-    return pairs.select(F.inline(F.array_compact(versions)))
-
-
 def _delta_changes(
-    current: DataFrame, fresh: DataFrame, columns: list[str], closes_missing: bool,
+    current: DataFrame, batch: DataFrame, columns: list[str], types: Mapping[str, T.DataType], closes_missing: bool,
     effective_at: Column,
 ) -> DataFrame:
+    latest = batch.withColumn("_join_key", _null_safe_key(F.col("_business_key")))
+    if "_row_index" in batch.columns:
+        latest = latest_per_key(latest, "_join_key")
+    fresh = _opened(latest, columns, types, effective_at)
     sent = fresh.select("_join_key", F.col("_content_hash").alias("_new_hash"))
     closing = F.coalesce(F.col("_new_hash") != F.col("_content_hash"), F.lit(closes_missing))
     kept = current.join(sent, "_join_key", "left").select(
@@ -194,6 +253,24 @@ def merge(
     )
 
 
+def keyed_tables(
+    tables: Mapping[str, DataFrame], key_fields: Sequence[str] = (),
+    facts: Callable[[str], tuple[bool, bool]] | None = None,
+) -> dict[str, DataFrame]:
+    """Every staged table of one batch with its keys and hashes, by dimension name.
+
+    ``facts`` tells of a table whether it has rows and all their parent keys; without it the rows are looked at.
+    """
+    look = {table: (lambda rows: batch_facts(rows)) if facts is None else (lambda _, table=table: facts(table)) for table in tables}
+    if key_fields and not any(configured_key(rows, key_fields) is not None for rows in tables.values()):
+        if any(look[table](rows)[0] for table, rows in tables.items()):
+            raise ValueError("configured key field(s) are missing from the batch")
+    return {
+        names.dimension_name(table): keyed(tables[table], business_key(tables[table], key_fields, table, look[table]))
+        for table in sorted(tables)
+    }
+
+
 def sync_batch(
     tables: Mapping[str, DataFrame], dimensions: Mapping[str, DataFrame], load_mode: str,
     delete_policy: str, effective_at: datetime, key_fields: Sequence[str] = (), plan: str = "auto",
@@ -204,18 +281,10 @@ def sync_batch(
     Dimensions that do not exist yet start empty.
     """
     check_options(load_mode, delete_policy)
-    if key_fields and not any(configured_key(rows, key_fields) is not None for rows in tables.values()):
-        if any(batch_facts(rows)[0] for rows in tables.values()):
-            raise ValueError("configured key field(s) are missing from the batch")
-    merges: dict[str, Merge] = {}
-    for table in sorted(tables):
-        rows = tables[table]
-        name = names.dimension_name(table)
-        merges[name] = merge(
-            dimensions.get(name), rows, business_key(rows, key_fields, table), load_mode, delete_policy,
-            effective_at, plan=plan,
-        )
-    return merges
+    return {
+        name: merge_keyed(dimensions.get(name), rows, load_mode, delete_policy, effective_at, plan)
+        for name, rows in keyed_tables(tables, key_fields).items()
+    }
 
 
 # Key and compared columns of the two master dimensions.
@@ -225,18 +294,19 @@ MASTER_ENTITIES = {
 }
 
 
+def keyed_master(entity: str, master: DataFrame) -> DataFrame:
+    """A master table (``department`` or ``user``) with its keys and hashes."""
+    key, compared = MASTER_ENTITIES[entity]
+    types = {item.name: item.dataType for item in master.schema}
+    return keyed(master.select(key, *compared), value_text(F.col(key), types[key]), compared)
+
+
 def sync_master(
     entity: str, master: DataFrame, dimension: DataFrame | None, load_mode: str,
     delete_policy: str, effective_at: datetime,
 ) -> Merge:
-    """Merge a master table (``department`` or ``user``) into its fixed dimension."""
-    key, compared = MASTER_ENTITIES[entity]
-    types = {item.name: item.dataType for item in master.schema}
-    rows = master.select(key, *compared)
-    return merge(
-        dimension, rows, value_text(F.col(key), types[key]), load_mode, delete_policy,
-        effective_at, compared,
-    )
+    """Merge a master table into its fixed dimension."""
+    return merge_keyed(dimension, keyed_master(entity, master), load_mode, delete_policy, effective_at)
 
 
 def master_stats(merge_result: Merge) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..functions.numbering import dense_ids
 from ..options import (
-    CLOSE_ON_FULL_SNAPSHOT, DELETE_POLICIES, FULL_SNAPSHOT, INCREMENTAL_UPSERT, LOAD_MODES, READ_SETTINGS,
+    CLOSE_ON_FULL_SNAPSHOT, DELETE_POLICIES, DEMO_ADDRESS, FULL_SNAPSHOT, INCREMENTAL_UPSERT, LOAD_MODES,
+    READ_SETTINGS,
 )
 
 # Fields a run event may set.
@@ -74,7 +75,7 @@ def batch_gate(requests: DataFrame, ledger: DataFrame) -> DataFrame:
 def source_problem() -> Column:
     """First problem of a row of source settings, NULL when they are valid."""
     url = F.trim(F.regexp_replace("url", r"^\s+|\s+$", ""))
-    absolute = urls.scheme(url).isin("http", "https") & (urls.host(url) != "")
+    absolute = (urls.scheme(url).isin("http", "https") & (urls.host(url) != "")) | url.rlike(DEMO_ADDRESS)
     blank_watermark = F.trim(F.coalesce("watermark_field", F.lit(""))) == ""
     blank_param = F.trim(F.coalesce("incremental_param", F.lit(""))) == ""
     return (

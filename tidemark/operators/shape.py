@@ -20,6 +20,7 @@ class Shape:
     scalar: bool = False
     fields: dict[str, "Shape"] | None = None
     element: "Shape | None" = None
+    kinds: set[str] = field(default_factory=set)
 
     def walk(self, steps: tuple = ()) -> Iterator[tuple[tuple, "Shape"]]:
         """This node and all below it, with their paths; keys in alphabetical order."""
@@ -64,6 +65,7 @@ def _merge(node: Shape, dtype: T.DataType, steps: tuple, pending: _Pending) -> N
         pending.paths.append(steps)
     else:
         node.scalar = True
+        node.kinds.add(dtype.simpleString())
 
 
 def discover(records: DataFrame, column: str = "rec", max_paths: int | None = None) -> Shape:
@@ -96,6 +98,7 @@ def discover(records: DataFrame, column: str = "rec", max_paths: int | None = No
             node = root.at(paths[row["path"]])
             if row["head"] == "scalar":
                 node.scalar = True
+                node.kinds.add(row["schema"].lower())
             else:
                 _merge(node, _datatype(row["schema"]), paths[row["path"]], pending)
         if max_paths is not None and (count := sum(1 for _ in root.walk())) > max_paths:

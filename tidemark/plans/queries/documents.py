@@ -145,6 +145,23 @@ def flatten_first_seen_types(spark: SparkSession, folder: str) -> DataFrame:
     return flat.select(F.col("_row_index").alias("row_index"), "code", "late", "amount", "ratio", "flag")
 
 
+@query("flatten_widened_types", """
+SELECT event_id AS row_index, event_id AS whole, 100 * user_id AS scaled, CAST(user_id AS DOUBLE) AS ratio FROM events""")
+def flatten_widened_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers stay whole where later records write them as ``7.0`` or ``1e2``; nothing is lost."""
+    events = table(spark, folder, "events")
+    user, odd = F.col("user_id").cast("string"), F.col("event_id") % 2 == 1
+    text = F.concat(
+        F.lit('{"whole":'), F.col("event_id").cast("string"), F.when(odd, ".0").otherwise(""),
+        F.lit(',"scaled":'), user, F.when(odd, "e2").otherwise("00"),
+        F.lit(',"ratio":'), user, F.when(odd, "").otherwise(".00"), F.lit("}"),
+    )
+    # A number must not start with zeros.
+    rows = events.select(F.col("event_id").alias("root_index"), parse(F.replace(text, F.lit(":000"), F.lit(":0"))).alias("rec"))
+    flat = flatten(rows, "numbers", 1).tables["numbers"]
+    return flat.select(F.col("_row_index").alias("row_index"), "whole", "scaled", "ratio")
+
+
 def sparse_documents(documents: DataFrame) -> dict[str, DataFrame]:
     """Tables of all documents with all their columns, and an array that is empty in each."""
     rows = records(documents, F.col("doc_id"), F.struct(*documents.columns, F.array().cast("array<string>").alias("none")))
@@ -152,15 +169,12 @@ def sparse_documents(documents: DataFrame) -> dict[str, DataFrame]:
 
 
 @query("flatten_empty_arrays", """
-SELECT doc_id AS row_index, 'sparse' AS found_in, source AS value FROM documents WHERE doc_id % 2 = 0
+SELECT doc_id AS row_index, 'sparse' AS found_in, source AS value FROM documents
 UNION ALL SELECT NULL, 'sparse_none', NULL""")
 def flatten_empty_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    """An array that is empty in every record still has its table; its absence would miss the marker row.
-
-    All documents are flattened; of the root rows the SQL states those of even ids.
-    """
+    """An array that is empty in every record still has its table; its absence would miss the marker row."""
     tables = sparse_documents(table(spark, folder, "documents"))
-    root = tables["sparse"].where(F.col("_row_index") % 2 == 0).select(
+    root = tables["sparse"].select(
         F.col("_row_index").alias("row_index"), F.lit("sparse").alias("found_in"), F.col("source").alias("value")
     )
     empty = tables["sparse_none"].agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(

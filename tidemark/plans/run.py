@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import check_root_table, dimension_name, identifier
 from ..operators.flatten import flatten
-from ..operators.history import sync_batch, sync_users
+from ..operators.history import keyed_master, keyed_tables
 from ..operators.reconcile import check_arrived
 from ..operators.watermark import run_checkpoint
 from ..options import INCREMENTAL_UPSERT, PipelineError, SourceConfig
@@ -73,7 +73,7 @@ def land_pages(
         raise PipelineError("extract", f"page {broken['page_no']}: {broken['problem']}")
     state = run_complete(pages).first()
     if state is None or not state["pagination_complete"]:
-        raise PipelineError("extract", "all pages must be fetched before loading")
+        raise PipelineError("extract", "the extract lacks pages that its source still has")
     try:
         records = assemble_pages(pages).select("root_index", "rec")
     except ValueError as error:
@@ -121,16 +121,20 @@ def load_batch(warehouse: Warehouse, request: Request, folder: str) -> tuple[int
         raise PipelineError("load", checked["reject_reason"])
     records = scan_records(spark, f"{folder}/{request.filename}")
     batch_id, types = warehouse.next_batch_id(), warehouse.staged_types()
-    batch = flatten(records, request.source, batch_id, types)
-    counts = warehouse.append_batch(batch_id, batch, types, {
-        "filename": request.filename, "source": request.source,
-        "source_url": checked["m"]["requested_url"], "payload_filename": request.filename,
-        "payload_sha256": checked["sha256"], "payload_size": checked["byte_size"],
-        "run_id": request.run_id, "load_mode": request.load_mode,
-        "delete_policy": request.delete_policy, "checkpoint_before": request.checkpoint_before,
-        "checkpoint_after": request.checkpoint_after,
-        "pagination_complete": request.pagination_complete,
-    })
+    try:
+        batch = flatten(records, request.source, batch_id, types)
+        counts = warehouse.append_batch(batch_id, batch, types, {
+            "filename": request.filename, "source": request.source,
+            "source_url": checked["m"]["requested_url"], "payload_filename": request.filename,
+            "payload_sha256": checked["sha256"], "payload_size": checked["byte_size"],
+            "run_id": request.run_id, "load_mode": request.load_mode,
+            "delete_policy": request.delete_policy, "checkpoint_before": request.checkpoint_before,
+            "checkpoint_after": request.checkpoint_after,
+            "pagination_complete": request.pagination_complete,
+        })
+    except Exception:
+        warehouse.release("batches", batch_id)
+        raise
     return batch_id, counts
 
 
@@ -153,15 +157,20 @@ def sync_core(
         table: warehouse.staged_batch(table, batch_id, types[table], table in written)
         for table in sorted(written | {identifier(source.name)}) if table in types
     }
-    states = warehouse.dimension_states()
-    held = {name: warehouse.dimension(name, states) for name in states}
-    merges = {}
+    # What staging observed: whether a table has rows, and whether all of them have a parent key.
+    seen = {table: (fact["rows"], fact["parented"]) for table, fact in entry["table_facts"].items()}
+
+    def facts(table: str) -> tuple[bool, bool]:
+        rows, parented = seen.get(table, (0, 0))
+        return rows > 0, rows == parented
+
+    batches = keyed_tables(tables, source.key_fields, facts)
     if masters is not None:
-        merges = sync_users(*masters, held, load_mode, source.delete_policy, effective_at)
-    merges |= sync_batch(
-        tables, held, load_mode, source.delete_policy, effective_at, source.key_fields
-    )
-    return warehouse.commit_merges(merges, states)
+        batches = {
+            dimension_name(entity): keyed_master(entity, rows) for entity, rows in zip(("department", "user"), masters)
+        } | batches
+    states = warehouse.dimension_states(names_only=set(batches))
+    return warehouse.merge_batches(batches, load_mode, source.delete_policy, effective_at, states)
 
 
 def run_source(

@@ -4,32 +4,48 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import source_slug
 from .manifests import MANIFEST_SCHEMA
 from .payloads import scan_records
 
-def content_digest(records: DataFrame) -> tuple[int, int, str]:
-    """Rows, JSON bytes and a SHA-256 that depends on every record and its position.
+_PARTS = tuple(f"part_{n}" for n in range(4))
 
-    Each record is hashed with its position, and the hashes are combined by exclusive or: one
-    aggregation whose partial results are one row per task, in any order, with nothing moved.
-    """
-    record = F.to_json("rec")
-    hashed = records.select(
-        F.octet_length(record).alias("size"),
-        F.sha2(F.concat_ws(":", F.col("root_index").cast("string"), record).cast("binary"), 256).alias("digest"),
+
+def _hashed(records: DataFrame) -> DataFrame:
+    """Records with the size of their JSON and a hash of it and the position."""
+    sized = records.select("root_index", "rec", F.to_json("rec").alias("_json"))
+    text = F.concat_ws(":", F.col("root_index").cast("string"), F.col("_json"))
+    return sized.select(
+        "root_index", "rec", F.octet_length("_json").alias("_size"), F.sha2(text.cast("binary"), 256).alias("_digest")
     )
+
+
+def _totals() -> list[Column]:
+    """Aggregates over the hashed records: the hashes are combined by exclusive or, so in any order."""
     parts = [
-        F.bit_xor(F.conv(F.substring("digest", 1 + 15 * n, 15), 16, 10).cast("bigint")).alias(f"part_{n}") for n in range(4)
+        F.bit_xor(F.conv(F.substring("_digest", 1 + 15 * n, 15), 16, 10).cast("bigint")).alias(name)
+        for n, name in enumerate(_PARTS)
     ]
-    facts = hashed.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), *parts).first()
-    combined = ":".join(str(facts[name]) for name in ("rows", "bytes", *(f"part_{n}" for n in range(4))))
-    return facts["rows"], facts["bytes"], hashlib.sha256(combined.encode()).hexdigest()
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_size"), F.lit(0)).alias("bytes"), *parts]
+
+
+def _combined(facts: Mapping[str, int]) -> tuple[int, int, str]:
+    whole = ":".join(str(facts[name]) for name in ("rows", "bytes", *_PARTS))
+    return facts["rows"], facts["bytes"], hashlib.sha256(whole.encode()).hexdigest()
+
+
+def content_digest(records: DataFrame) -> tuple[int, int, str]:
+    """Rows, JSON bytes and a SHA-256 that depends on every record and its position.
+
+    One aggregation whose partial results are one row per task, with nothing moved.
+    """
+    return _combined(_hashed(records).agg(*_totals()).first().asDict())
 
 
 def landing_name(spark: SparkSession, source: str) -> str:
@@ -46,14 +62,14 @@ def write_landing(
 
     Records are parsed once and stay VARIANT, which also keeps ``1.0`` apart from ``1``.
     The payload goes to its own fresh directory; an extract exists once its manifest does.
-    Size and checksum are taken from what was written.
+    Size and checksum are observed by the tasks that write, so nothing is read again.
     """
     spark = records.sparkSession
     filename = filename or landing_name(spark, source)
     path = f"{folder}/{filename}"
-    records.select("root_index", "rec").write.parquet(path)
-    written = scan_records(spark, path)
-    rows, byte_size, digest = content_digest(written)
+    seen = Observation()
+    _hashed(records).observe(seen, *_totals()).select("root_index", "rec").write.parquet(path)
+    rows, byte_size, digest = _combined(seen.get)
     complete = {
         "manifest_version": 1, "status": "extracted", "source": source,
         "fetched_at": datetime.now(timezone.utc).isoformat(), "http_status": 200,

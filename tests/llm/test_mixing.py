@@ -72,6 +72,20 @@ def test_mixed_texts_hold_the_taken_words(corpus):
     assert counts == {r["doc_id"]: r["taken"] for r in plan.collect() if r["taken"]}
 
 
+def test_documents_are_whole_but_at_the_ends_of_a_run(corpus):
+    rows = [(s, "\n".join([f"{s}{n}", *(prose(100 * n + i, 9).replace(" ", "\t", 3) for i in range(12))])) for s in "abc" for n in range(80)]
+    mixed = mixing.mixed(corpus([t for _, t in rows], sources=[s for s, _ in rows])).collect()
+    pieces = defaultdict(list)
+    for row in mixed:
+        source, text = rows[row["doc_id"]]
+        # What is taken of a document is one run of its text, white space and all.
+        assert row["text"] in text
+        if row["text"] != text:
+            pieces[source].append(row["text"])
+    assert pieces and all(len(cut) <= 2 for cut in pieces.values())
+    assert 20 < len({row["doc_id"] for row in mixed if rows[row["doc_id"]][0] == "a"}) < 80
+
+
 @pytest.mark.parametrize("seats", [0, 1, 7, 40, 1000])
 def test_apportionment_by_highest_quotients(spark, corpus, seats):
     claims = [("a", 10.0), ("b", 20.5), ("c", 20.5), (None, 3.25), ("d", 0.0), ("e", 77.75), ("f", 20.5)]
@@ -84,6 +98,15 @@ def test_apportionment_by_highest_quotients(spark, corpus, seats):
     assert found == held
 
 
+def test_rows_without_id_are_spread(spark):
+    rows = stored(spark.range(4096).select(
+        F.col("id").alias("row"), F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit(20).cast("long").alias("size"),
+        F.lit(7).cast("long").alias("mark"),
+    ))
+    shards = mixing.plan(rows).groupBy("shard").count().collect()
+    assert len(shards) == 4 and max(row["count"] for row in shards) < 1400
+
+
 def test_repeated_rows_and_empty_tables(corpus):
     _, plan = planned(corpus, [("a", "one two three")] * 5, ids=[1, 1, 1, None, None])
     assert sum(r["taken"] for r in plan.collect()) == 15

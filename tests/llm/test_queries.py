@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import queries
+from tidemark.llm import mixing, queries
 from tidemark.llm.common import stored
 
 from .conftest import prose, words
@@ -64,6 +66,8 @@ def test_pipeline_stages(spark, corpus, folder):
     docs, seen = spark.read.parquet(f"{folder}/documents.parquet"), []
     for name, stage in corpus_pipeline.STAGES:
         out = stored(stage(spark, docs, folder))
+        if stage is corpus_pipeline.mix:
+            before_mix, mixed_texts = docs, [(r["doc_id"], r["text"]) for r in out.collect()]
         seen.append(sorted({r["doc_id"] for r in out.collect()}))
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns
@@ -74,7 +78,18 @@ def test_pipeline_stages(spark, corpus, folder):
     left = seen[1]
     roots = classes([texts[i] for i in left])
     assert seen[2] == [left[i] for i in sorted(set(roots))]
-    assert seen[3] == seen[4] == seen[2]
+    assert seen[3] == seen[4] and set(seen[3]) <= set(seen[2])
+    # The mix takes texts whole, with their white space, but for the two at the ends of a run.
+    cut = Counter(texts[i] == text for i, text in mixed_texts)
+    assert all(text in texts[i] for i, text in mixed_texts) and cut[False] <= 2 * 2
+    planned = {r["doc_id"]: r["taken"] for r in mixing.plan(stored(before_mix.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", mixing.size(F.col("text")).alias("size"),
+        F.xxhash64("text").alias("mark"),
+    ))).collect()}
+    own, wanted = Counter(), Counter({key: n for key, n in planned.items() if n})
+    for i, text in mixed_texts:
+        own[i] += len(words(text))
+    assert own == wanted
     for row in out.collect():
         assert row["round_trip"] and row["n_tokens"] == len(np.frombuffer(row["ids"], "<u4")) > 0
     whole = corpus_pipeline.run(spark, folder)

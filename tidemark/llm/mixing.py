@@ -5,7 +5,8 @@ goes to the others by weight. Each source is dealt into shards of about ``SHARD_
 hash of the id. The mix is so many blocks of ``block`` words, and the blocks go to the shards by
 highest quotients (divisors 1, 3, 5, ...): integer quotas that keep to the targets. Inside a shard the
 documents are laid end to end in a seeded order and cut into blocks; a quota is whole passes over the
-shard and then blocks picked at even distance from a seeded start.
+shard and then one run of neighbouring blocks from a seeded start. So a partial pass takes documents
+whole or not at all, but for the two at the ends of a run, which are cut.
 
 No step gathers a source: shares are sums over a table of sources, quotas come from a search for the
 divisor over a table of shards, and a window holds the ids and sizes of one shard.
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import fresh_name, small, stored
 
-# Fixed value: the characters of a word.
-WORD = r"[^\x20\x09-\x0D]+"
+# White space, the characters of a word, and those between words.
+SPACE = " \t\n\x0b\x0c\r"
+WORD, SPACES = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]*"
 
 #: Weights of the sources in the order of their names, repeating; passes over a source at most.
 WEIGHTS, EPOCHS = (1, 2, 3), 3
@@ -122,20 +124,27 @@ def apportion(units: DataFrame, seats: int, order: list[str]) -> DataFrame:
 
 
 def plan(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """What the mix takes of each stored row (row, doc_id, source, size).
+    """What the mix takes of each stored row (row, doc_id, source, size, and mark, a hash of the text).
 
-    Adds source_size, target, passes (times the whole document is taken), and of the blocks picked
-    beyond these: first (the document's first word in its shard), blocks, picked, phase, and taken,
-    the words taken in all.
+    Documents are dealt by id, those without one by row. Texts of one id are laid in the order of their sizes
+    and marks, and what agrees in all of that in the order of the rows.
+
+    Adds source_size, target, passes (times the whole document is taken), and of the run of blocks picked
+    beyond these: start (its first word in the document, from 0) and part (its words there); and taken, the
+    words taken in all.
     """
     block, seed = mix.block, mix.seed
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     sources = small(stored(targets(stored(sources), mix).select("source", "source_size", "docs", "target")))
     own = sources.select(F.col("source").alias("_source"), "source_size", "docs", "target")
     shards = F.ceil(F.col("docs") / SHARD_DOCS)
+    mark = F.col("mark") if "mark" in rows.columns else F.lit(None).cast("bigint")
+    # Rows without an id may be many: they are dealt one by one.
+    alone = F.when(F.col("doc_id").isNull(), F.col("row"))
     dealt = rows.join(own, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumns({
-        "shard": F.pmod(F.xxhash64("doc_id", F.lit(seed)), shards).cast("bigint"),
-        "draw": F.xxhash64("doc_id", F.lit(seed), F.lit(1)),
+        "shard": F.pmod(F.xxhash64("doc_id", alone, F.lit(seed)), shards).cast("bigint"),
+        "draw": F.xxhash64("doc_id", alone, F.lit(seed), F.lit(1)),
+        "tie": mark,
     })
     units = stored(
         dealt.groupBy("source", "shard").agg(
@@ -153,59 +162,45 @@ def plan(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.when(F.col("passes") >= mix.epochs, 0).otherwise(
             F.least(blocks, F.floor((words - F.col("passes") * F.col("shard_size")) / block + 0.5))
         ).cast("bigint").alias("picked"),
-        F.pmod(F.xxhash64("source", "shard", F.lit(seed)), F.greatest(blocks, F.lit(1))).alias("phase"),
-    )
+        F.xxhash64("source", "shard", F.lit(seed)).alias("draw_run"),
+    ).withColumn("phase", F.pmod("draw_run", F.col("blocks") - F.col("picked") + 1)).drop("draw_run", "blocks")
     ahead = (
-        Window.partitionBy("source", "shard").orderBy("draw", "doc_id", "size")
+        Window.partitionBy("source", "shard").orderBy("draw", "doc_id", "size", "tie", "row")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     laid = dealt.withColumn("first", F.coalesce(F.sum("size").over(ahead), F.lit(0)))
     quotas = small(stored(quotas))
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard"))
-    planned = laid.join(quotas, same)
-    return planned.withColumn("taken", F.col("passes") * F.col("size") + F.coalesce(F.aggregate(
-        chosen_runs(block), F.lit(0).cast("bigint"), lambda total, run: total + run["words"]
-    ), F.lit(0).cast("bigint"))).drop("_source", "_shard", "docs", "draw")
-
-
-def chosen(block_number: Column, of: str = "") -> Column:
-    """Whether a block of a shard is picked: ``picked`` of ``blocks`` at even distance from ``phase``."""
-    picked, phase, blocks = F.col(f"{of}picked"), F.col(f"{of}phase"), F.col(f"{of}blocks")
-    return F.floor(((block_number + 1) * picked + phase) / blocks) > F.floor((block_number * picked + phase) / blocks)
-
-
-def chosen_runs(block: int) -> Column:
-    """Runs of a document's words in the picked blocks: structs of from (its word, from 0) and words."""
-    first, last = F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block)
+    begin = F.greatest(F.col("phase") * block - F.col("first"), F.lit(0))
+    end = F.least((F.col("phase") + F.col("picked")) * block - F.col("first"), F.col("size"))
+    return laid.join(quotas, same).withColumns({
+        "start": begin.cast("bigint"), "part": F.greatest(end - begin, F.lit(0)).cast("bigint"),
+    }).withColumn("taken", F.col("passes") * F.col("size") + F.col("part")).drop(
+        "_source", "_shard", "docs", "draw", "tie", "first", "picked", "phase"
+    )
 
-    def run(j: Column) -> Column:
-        start = F.greatest(j * block - F.col("first"), F.lit(0))
-        end = F.least((j + 1) * block - F.col("first"), F.col("size"))
-        return F.struct(start.alias("from"), (end - start).alias("words"))
 
-    runs = F.transform(F.filter(F.sequence(first, last), lambda j: chosen(j)), run)
-    return F.when((F.col("size") > 0) & (F.col("picked") > 0), runs)
+def cut(text: Column, start: Column, count: Column) -> Column:
+    """``count`` words of a text from its word ``start`` (from 0), with the white space between them."""
+    pieces = F.regexp_extract_all(text, F.lit(WORD + SPACES), F.lit(0))
+    return F.rtrim(F.array_join(F.slice(pieces, (start + 1).cast("int"), count.cast("int")), ""), F.lit(SPACE))
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix itself, with the columns of the documents: a row for each pass over a document, and one
-    with the words of its picked blocks, joined by a space. Documents that the mix does not take are gone."""
+    with what the run of picked blocks has of it. Documents that the mix does not take are gone."""
     row = fresh_name(docs, "_row")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()))
-    thin = rows.select(F.col(row).alias("row"), "doc_id", "source", size(F.col("text")).alias("size"))
+    thin = rows.select(F.col(row).alias("row"), "doc_id", "source", size(F.col("text")).alias("size"), F.xxhash64("text").alias("mark"))
     taken = plan(stored(thin), mix).where(F.col("taken") > 0).select(
-        F.struct(F.col("row").alias("_taken"), "passes", "taken", "size", "first", "picked", "phase", "blocks")
-        .alias(mine := fresh_name(docs, "_mine"))
+        F.struct(F.col("row").alias("_taken"), "passes", "size", "start", "part").alias(mine := fresh_name(docs, "_mine"))
     )
     joined = rows.join(taken, rows[row] == taken[f"{mine}._taken"])
-    # The words are the argument of the filter, so a text is cut once, whatever is picked of it.
-    part = F.array_join(F.filter(
-        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)),
-        lambda _, place: chosen(F.floor((F.col(f"{mine}.first") + place) / mix.block), f"{mine}."),
-    ), " ")
+    part, length = F.col(f"{mine}.part"), F.col(f"{mine}.size")
+    # Only the documents at the ends of a run are cut.
+    piece = F.when(part < length, cut(F.col("text"), F.col(f"{mine}.start"), part)).otherwise(F.col("text"))
     whole = F.array_repeat(F.col("text"), F.col(f"{mine}.passes").cast("int"))
-    partial = F.col(f"{mine}.taken") > F.col(f"{mine}.passes") * F.col(f"{mine}.size")
-    texts = F.when(partial, F.concat(whole, F.array(part))).otherwise(whole)
+    texts = F.when(part > 0, F.concat(whole, F.array(piece))).otherwise(whole)
     pieces = joined.select(*[rows[c] for c in docs.columns if c != "text"], F.explode(texts).alias("text"))
     if "n_chars" in docs.columns:
         pieces = pieces.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -98,7 +98,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_mixing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents").select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "source", mixing.size(F.col("text")).alias("size")
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", mixing.size(F.col("text")).alias("size"),
+        F.xxhash64("text").alias("mark"),
     )
     return mixing.plan(stored(rows)).select("doc_id", "size", "source_size", "target", "taken", "passes")
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -84,6 +85,24 @@ def test_licences(corpus):
     assert rows[12]["licenses"] == "GPL-3.0-or-later" and rows[14]["licenses"] == "ISC"
 
 
+def test_long_sequences_in_any_order(corpus):
+    draw = random.Random(2)
+    sentences = [texts[0] for texts in license_scan.SENTENCES.values()]
+    grant = license_scan.SENTENCES["BSDGRANT"][0]
+    texts = [
+        grant + ".\n" + "All rights reserved.\n" * 2000, (grant + ".\n") * 3000,
+        "\n".join(draw.choice(sentences) for _ in range(100_000)),
+        "\n".join(license_scan.SENTENCES[name][0] for name in ("MITNAME", "MITGRANT") for _ in range(50_000)),
+    ]
+    texts += ["\n".join(draw.choice(sentences) for _ in range(draw.randint(0, 30))) for _ in range(300)]
+    few = [license_scan.SENTENCES[name][0] for name in ("MITNAME", "MITGRANT", "MITNOTICE", "ISCREF", "BSDGRANT", "BSDSOURCE", "BSDBINARY")]
+    texts += ["\n".join(draw.choice(few) for _ in range(draw.randint(2, 12))) for _ in range(300)]
+    rows = {row["doc_id"]: row for row in license_scan.scan(corpus(texts)).collect()}
+    assert rows[0]["licenses"] == "Proprietary" and rows[1]["licenses"] == rows[3]["licenses"] == ""
+    assert rows[2]["n_sentences"] == 100_000
+    assert [rows[n]["licenses"] for n in range(4, len(texts))] == [by_hand(text) for text in texts[4:]]
+
+
 def test_empty_table(corpus):
     assert license_scan.scan(corpus([])).collect() == []
 

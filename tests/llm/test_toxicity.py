@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity
+from tidemark.llm.common import training_row
 
 from .conftest import prose
 
@@ -31,6 +35,39 @@ def test_learns_words_and_beginnings_of_words(spark, corpus):
     assert found[140] >= 0.7 and found[141] >= 0.7 and found[142] < 0.7
 
 
+def test_words_that_only_begin_like_a_term(spark, corpus):
+    harsh = ["pathetic", "moron", "idiot", "stupid", "trash"]
+    toxic = [spoiled(n, harsh[n % 5]) for n in range(150)]
+    clean = [prose(5000 + n, 60) for n in range(300)]
+    lexicon = toxicity.learn(labelled(spark, toxic, clean))
+    assert {f"{word} " for word in harsh} <= set(lexicon.weights)
+    texts = [
+        "the path to the station", "a trip to Morocco", "an idiom is an idiosyncratic phrase", "he lay in a stupor", "a tram came",
+        "you are an idiot", "what a pathetic try",
+    ]
+    found = scores(corpus(texts), lexicon)
+    assert [found[n] >= 0.7 for n in range(len(texts))] == [False] * 5 + [True] * 2
+
+
+def test_built_in_terms_go_once_there_are_labels(spark):
+    toxic = [spoiled(n, "zorblat") for n in range(40)]
+    # A word that is harsh elsewhere is common and clean here.
+    clean = [spoiled(5000 + n, "clown") for n in range(40)]
+    lexicon = toxicity.learn(labelled(spark, toxic, clean))
+    assert "zorblat " in lexicon.weights and not set(toxicity.BUILT_IN) & {term.strip() for term in lexicon.weights}
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="test data are not here")
+def test_held_out_rows(spark, corpus):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    learning = training_row(F.col("doc_id"), 3, 1)
+    lexicon = toxicity.learn(toxicity.sample(docs, labels.where(learning)))
+    held = docs.join(labels.where(~learning), "doc_id").select("toxic", toxicity.toxicity(F.col("text"), lexicon).alias("s"))
+    found = {row["toxic"]: row["caught"] for row in held.groupBy("toxic").agg(F.avg((F.col("s") >= 0.7).cast("int")).alias("caught")).collect()}
+    assert found[1] >= 0.86 and found[0] <= 0.01
+
+
 def test_folding():
     assert toxicity.fold("1d10t m0r0n ѕtupіd ｔｒａｓｈ sc​um L0SER") == " idiot moron stupid trash scum loser "
     assert toxicity.fold("in 2024 and 17 of 30") == " in and of "

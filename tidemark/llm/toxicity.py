@@ -8,11 +8,14 @@ turned into a score from 0 to 1 by a logistic curve.
 
 The lexicon and the curve are learnt from labelled rows (``learn``), at most ``SAMPLE`` of each
 class, chosen by a hash of the id: terms are chosen one by one, by how many toxic rows each explains
-that none before it does. Built-in terms keep a small weight where labels are too few.
+that few before it do. The beginning of a word is a candidate only if several words of toxic rows go
+on from it and none of them stands for most of its rows; else the whole word is. Built-in terms are used
+only where a class has too few labelled rows to learn from.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import unicodedata
@@ -28,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import labelled_sample
+from .common import give_back, labelled_sample, released, stored
 
 # Letters of other scripts and signs that look like Latin letters.
 HOMOGLYPHS = {
@@ -45,11 +48,13 @@ EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "circus clown
 
 #: Labelled rows of each class that the lexicon is learnt from, at most.
 SAMPLE = 3000
-#: Terms kept at most, and the shortest and longest beginning of a word that may become one.
-TERMS, SHORTEST, LONGEST = 4000, 4, 10
-#: Toxic rows a term must be in, and for how many of them no better term has been found; and its least
-#: weight: the log of how much likelier it makes a toxic row.
+#: The shortest and longest beginning of a word that may become a term, and how many words have to go on from it.
+SHORTEST, LONGEST, WORDS = 4, 10, 3
+#: Toxic rows a term must be in, and in how many of them it must be among the first terms that explain
+#: them; and its least weight: the log of how much more frequent it is among the words of toxic rows.
 LEAST_ROWS, LEAST_NEW, LEAST_WEIGHT = 5, 3, 3.0
+#: Terms that may explain a row, and occurrences in one text that count.
+EXPLAINED, REPEATS = 3, 5
 #: Weight of built-in terms, and the number of words from which a text counts as long.
 BUILT_IN_WEIGHT, LONG_TEXT = 3.0, 200
 
@@ -129,38 +134,64 @@ def toxicity(text: Column, lexicon: Lexicon) -> Column:
         built = automaton(lexicon)
         for texts in batches:
             yield pd.Series([logistic(strength(text, built), lexicon) for text in texts], dtype="float64")
+        give_back()
 
     return score(text)
 
 
-def _terms(text: str) -> set[str]:
-    """Whole words and beginnings of words of a text."""
-    terms = set()
-    for word in set(fold(text).split()):
+def _terms(words: list[str]) -> Counter:
+    """Whole words and beginnings of words, with their occurrences."""
+    terms: Counter = Counter()
+    for word, count in Counter(words).items():
         if len(word) >= SHORTEST:
-            terms.update(word[:length] for length in range(SHORTEST, min(len(word), LONGEST) + 1))
+            for length in range(SHORTEST, min(len(word), LONGEST) + 1):
+                terms[word[:length]] += count
             if len(word) <= 2 * LONGEST:
-                terms.add(f"{word} ")
+                terms[f"{word} "] += count
     return terms
 
 
+#: Stands for every word in the counts of terms.
+EVERY = ""
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    counts: dict[str, list[int]] = {}
 
     def rows() -> pa.RecordBatch:
-        known = list(counts[0].keys() | counts[1].keys())
-        columns = [known, [counts[1][term] for term in known], [counts[0][term] for term in known]]
-        for counter in counts:
-            counter.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.string()), *(pa.array(column, pa.int64()) for column in columns[1:])],
-            names=["term", "toxic", "clean"],
-        )
+        columns = [pa.array(list(counts), pa.string()), *(pa.array(column, pa.int64()) for column in zip(*counts.values()))]
+        counts.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["term", "clean", "toxic", "texts"])
 
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-            counts[label].update(_terms(text or ""))
-            if len(counts[0]) + len(counts[1]) > 200_000:
+            words = fold(text or "").split()
+            for term, count in [*_terms(words).items(), (EVERY, len(words))]:
+                own = counts.setdefault(term, [0, 0, 0])
+                own[label] += count if term == EVERY else min(count, REPEATS)
+                own[2] += label
+            if len(counts) > 400_000:
+                yield rows()
+    if counts:
+        yield rows()
+
+
+def _continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words that go on from each beginning, with the number of texts that have them."""
+    counts: Counter = Counter()
+
+    def rows() -> pa.RecordBatch:
+        known = list(counts)
+        columns = [[pair[0] for pair in known], [pair[1] for pair in known]]
+        numbers = pa.array([counts[pair] for pair in known], pa.int64())
+        counts.clear()
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns), numbers], names=["term", "word", "n"])
+
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            for word in set(fold(text or "").split()):
+                counts.update((word[:length], word) for length in range(SHORTEST, min(len(word), LONGEST) + 1))
+            if len(counts) > 200_000:
                 yield rows()
     yield rows()
 
@@ -172,50 +203,73 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
 
 def learn(labelled: DataFrame) -> Lexicon:
     """Lexicon and curve from bounded labelled rows (text, label)."""
+    labelled = stored(labelled.select("text", "label"))
     sizes = {row["label"]: row["n"] for row in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    weights = {term: BUILT_IN_WEIGHT for term in BUILT_IN}
+    few = min(toxic, clean) < LEAST_ROWS
+    weights = {term: BUILT_IN_WEIGHT for term in BUILT_IN} if few else {}
     if toxic and clean:
-        counts = labelled.select("text", "label").mapInArrow(_counted, "term string, toxic long, clean long")
-        counts = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-        best = (
-            counts.where(F.col("toxic") >= LEAST_ROWS)
-            .withColumn("weight", weight)
-            .where(F.col("weight") >= LEAST_WEIGHT)
-            .orderBy(F.desc("weight"), "term")
-            .limit(TERMS)
-            .collect()
-        )
-        weights |= _needed(labelled.where("label = 1"), {row["term"]: row["weight"] for row in best})
+        weights |= _needed(labelled.where("label = 1"), _candidates(labelled))
     lexicon = Lexicon(weights)
     return _fitted(labelled, lexicon) if toxic and clean else lexicon
 
 
+def _candidates(labelled: DataFrame) -> dict[str, float]:
+    """Words, and beginnings that stand for several words, with their weights; the labelled rows bound them."""
+    sums = [F.sum(name).alias(name) for name in ("toxic", "clean", "texts")]
+    counts = stored(labelled.mapInArrow(released(_counted), "term string, clean long, toxic long, texts long").groupBy("term").agg(*sums))
+    every = counts.where(F.col("term") == EVERY).first()
+    rate = [F.log((F.col(name) + 0.5) / (every[name] + 1)) for name in ("toxic", "clean")]
+    likely = counts.where((F.col("term") != EVERY) & (F.col("texts") >= LEAST_ROWS)).withColumn("weight", rate[0] - rate[1])
+    going_on = labelled.where("label = 1").mapInArrow(released(_continued), "term string, word string, n long")
+    going_on = going_on.groupBy("term", "word").agg(F.sum("n").alias("n"))
+    going_on = going_on.groupBy("term").agg(F.count("*").alias("words"), F.max("n").alias("most"))
+    several = F.endswith("term", F.lit(" ")) | ((F.col("words") >= WORDS) & (2 * F.col("most") <= F.col("texts")))
+    chosen = likely.where(F.col("weight") >= LEAST_WEIGHT).join(going_on, "term", "left").where(several)
+    rows = {row["term"]: row for row in chosen.select("term", "weight", "toxic", "clean").collect()}
+    # Of beginnings that go on in one way only, the longest stands for them.
+    longer = {(term[:-1], row["toxic"], row["clean"]) for term, row in rows.items() if not term.endswith(" ")}
+    return {term: row["weight"] for term, row in rows.items() if (term, row["toxic"], row["clean"]) not in longer}
+
+
 def _needed(toxic: DataFrame, weights: dict[str, float]) -> dict[str, float]:
     """The candidates that explain the toxic rows: again and again the term of the largest weight times
-    number of rows that no chosen term is in. Words that only stand beside a term, as in copies of a
-    toxic text, explain nothing new and are left out."""
+    number of rows that fewer than ``EXPLAINED`` chosen terms are in; of equals a whole word, then the
+    longest. Words that only stand beside terms, as in copies of a toxic text, explain little and are left out."""
 
     @pandas_udf("array<string>")
     def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([sorted(_terms(text or "") & weights.keys()) for text in texts], dtype=object)
+            found = [_terms(fold(text or "").split()).keys() & weights.keys() for text in texts]
+            yield pd.Series([sorted(terms) for terms in found], dtype=object)
+        give_back()
 
-    names = sorted(weights)
-    place = {term: n for n, term in enumerate(names)}
+    inside: dict[str, set[int]] = {}
     rows = [row[0] for row in toxic.select(held("text")).collect()]
-    inside = np.zeros((len(rows), len(names)), np.float32)
-    for n, terms in enumerate(rows):
-        inside[n, [place[term] for term in terms]] = 1
-    weight, open_rows, chosen = np.array([weights[term] for term in names]), np.ones(len(rows), np.float32), {}
-    while len(names):
-        new = open_rows @ inside
-        best = int(np.argmax(np.where(new >= LEAST_NEW, new * weight, 0)))
-        if new[best] < LEAST_NEW:
-            break
-        chosen[names[best]] = weights[names[best]]
-        open_rows *= 1 - inside[:, best]
+    for number, terms in enumerate(rows):
+        for term in terms:
+            inside.setdefault(term, set()).add(number)
+    left = [EXPLAINED] * len(rows)
+
+    def gain(term: str) -> tuple:
+        return -len(inside[term]) * weights[term], not term.endswith(" "), -len(term), term
+
+    # A term's open rows only get fewer, so the first one whose gain is up to date is the best.
+    queue = [gain(term) for term in inside]
+    heapq.heapify(queue)
+    chosen = {}
+    while queue:
+        entry = heapq.heappop(queue)
+        term = entry[-1]
+        inside[term] = {number for number in inside[term] if left[number]}
+        if len(inside[term]) < LEAST_NEW:
+            continue
+        if gain(term) != entry:
+            heapq.heappush(queue, gain(term))
+            continue
+        chosen[term] = weights[term]
+        for number in inside[term]:
+            left[number] -= 1
     return chosen
 
 
@@ -227,6 +281,7 @@ def _fitted(labelled: DataFrame, lexicon: Lexicon) -> Lexicon:
         built = automaton(lexicon)
         for texts in batches:
             yield pd.Series([strength(text, built) for text in texts], dtype="float64")
+        give_back()
 
     rows = np.array(labelled.select(value("text"), F.col("label").cast("double")).collect(), float).reshape(-1, 2)
     x, y = rows[:, 0], rows[:, 1]

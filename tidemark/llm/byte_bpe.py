@@ -25,6 +25,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from .common import give_back
+
 #: Characters from which a text is split, and of white space from which a run is encoded by itself.
 PART, RUN = 1 << 16, 1 << 10
 
@@ -96,7 +98,9 @@ def encode(text: Column, ranks: Broadcast[bytes], pattern: str) -> Column:
     @pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
         own = encoder(ranks.value, pattern)
-        return pd.Series([encode_text(own, value) for value in texts], dtype=object)
+        found = pd.Series([encode_text(own, value) for value in texts], dtype=object)
+        give_back()
+        return found
 
     return packed(text)
 

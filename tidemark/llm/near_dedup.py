@@ -14,10 +14,10 @@ similarity. Points are made in order of time only up to a limit by which all com
 almost surely (a text whose components are not gets a later limit), so a long text needs a few points
 more than it has shingles, not a number of components for each.
 
-Candidates. Texts that agree on all values of a band meet in a bucket. No bucket's pairs are all
-emitted: in each round every bucket has one centre, at first the text that meets most others, and each
+Candidates. Texts that agree on all values of a band meet in a bucket. In each round every bucket has one centre, at first the text that meets most others, and each
 of the others that is not yet in the centre's class is checked against it. Once few pairs of different classes are left, or centres no
-longer settle most of them, all of these are checked. Before texts are compared, a pair must have sizes
+longer settle most of them, all of these are checked: texts that are alike, but below the bar, make as
+many pairs as there are in their buckets. Before texts are compared, a pair must have sizes
 that allow the similarity, enough agreeing values, and bitmaps of its shingles that do not rule it out
 (a bit that one text has alone is a shingle that it has alone, so this loses nothing). Links inside a class are neither found nor needed.
 """
@@ -29,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import fresh_name, small, stored
+from .common import fresh_name, released, small, stored
 from .components import components
 
 #: Words of a shingle, least similarity, bands, values in a band.
@@ -44,6 +45,9 @@ ROUNDS, SETTLED = 6, 0.8
 #: agree with a probability of 1e-6.
 AGREEING = 57
 
+#: Bytes of texts that are signed at once (a longer text is signed alone), and shingles of one step.
+BLOCK, STEP = 1 << 20, 1 << 17
+
 _SLACK = 3.0
 _LEVELS = 24
 _ROUNDING = 1e-9
@@ -79,7 +83,9 @@ def signatures(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, sizes:
             mine = mine[weights[mine] > low]
             if not len(mine):
                 break
-            _process(text[mine], hashes[mine], weights[mine], level, low, max(low, 1), limit, best, value)
+            for first in range(0, len(mine), STEP):
+                part = mine[first:first + STEP]
+                _process(text[part], hashes[part], weights[part], level, low, max(low, 1), limit, best, value)
         todo &= np.isinf(best).any(axis=1)
         best[todo], value[todo] = np.inf, 0
         limit[todo] *= 2
@@ -133,8 +139,19 @@ def bitmaps(text: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np
     return np.packbits(bits, bitorder="little").view("<i8"), offsets
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of a bounded size, so that the arrays made of a part are small."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + BLOCK, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in _blocks(whole)):
         data, bounds = W.buffers(batch.column("text"))
         text, hashes, weights, sizes = shingles(data, bounds)
         values = signatures(text, hashes, weights, sizes, BANDS * ROWS)
@@ -194,7 +211,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     left = own.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     right = own.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "class_a", "class_b", "text_a", "text_b")
-    return joined.mapInArrow(_overlaps(similarity), "a long, b long")
+    return joined.mapInArrow(released(_overlaps(similarity)), "a long, b long")
 
 
 def _merged(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -251,7 +268,7 @@ def classes_of(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ``row`` must be unique. The result also has n_shingles.
     """
     signed = stored(rows.select("row", "text").mapInArrow(
-        _signed, "row long, n_shingles long, bag_a long, bag_b long, bands array<long>, marks array<long>, bits array<long>"
+        released(_signed), "row long, n_shingles long, bag_a long, bag_b long, bands array<long>, marks array<long>, bits array<long>"
     ))
     worded = signed.where("n_shingles > 0")
     # Copies of a multiset are one node, that of the least row.

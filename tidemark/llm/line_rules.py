@@ -8,8 +8,8 @@ Lines are normalised (ASCII lower case, white space collapsed) and hashed togeth
 their document. A line is common if it stands in more distinct texts of the host than both limits
 allow; exact copies of a text are one text. Common lines are taken out, and a document that loses
 most of its words, or keeps very few, is rejected. Lines of many words can be judged by the number of
-texts alone (``long_line``), for no share is natural for a whole passage; one of the texts then keeps it,
-so that of documents that share all their passages one is left.
+texts alone (``long_line``), for no share is natural for a whole passage; the text of the least doc_id
+(null last) then keeps it, so that of documents that share all their passages one is left.
 
 Null texts are empty, a null host is a host of its own, and repeated rows each get their row.
 """
@@ -29,7 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Bits of a sort key that hold a position.
+#: Bits of a sort key that hold a position: a text may have 2**28 words, which is more than a row can hold.
 _PLACE = 28
 
 
@@ -48,6 +48,10 @@ class Limits:
     long_line: int | None = None
 
 
+#: The rules of the query and the pipeline: a line of ten words is a passage, and its number of texts decides.
+RULES = Limits(long_line=10)
+
+
 def without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
@@ -125,14 +129,17 @@ def verdicts(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -
         F.transform(F.transform("_lines", normalised), line).alias("lines"),
     ))
     # Only lines beyond the fixed limit are compared with the size of their host.
-    lines = counted.select("row", "_host", "text_key", F.explode("lines").alias("item")).select(
-        "row", "_host", "text_key", "item.line", "item.words"
+    own_place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key").alias("own")
+    lines = counted.select("row", "_host", "text_key", own_place, F.explode("lines").alias("item")).select(
+        "row", "_host", "text_key", "own", "item.line", "item.words"
     )
     frequent = (
-        lines.groupBy("line", "text_key").agg(F.first("_host").alias("_host"), F.first("words").alias("words"))
+        lines.groupBy("line", "text_key").agg(
+            F.first("_host").alias("_host"), F.first("words").alias("words"), F.min("own").alias("own")
+        )
         .groupBy("line").agg(
             F.count("*").alias("texts"), F.first("_host").alias("_host"),
-            F.first("words").alias("words"), F.min("text_key").alias("least"),
+            F.first("words").alias("words"), F.min("own").alias("own"),
         )
         .where(F.col("texts") > limits.line_texts)
     )
@@ -146,7 +153,7 @@ def verdicts(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -
         found = lines.join(small(stored(placed.where(share).select("line"))), "line")
     else:
         common = placed.where(share | (F.col("words") >= limits.long_line)).select(
-            "line", F.when(~share, F.col("least")).alias("keeper")
+            "line", F.when(~share, F.col("own.text_key")).alias("keeper")
         )
         found = lines.join(small(stored(common)), "line").where(~F.col("text_key").eqNullSafe(F.col("keeper")))
     removed = found.groupBy("row").agg(F.sum("words").cast("bigint").alias("n_removed_words"))

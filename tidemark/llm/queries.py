@@ -150,18 +150,22 @@ base AS (
   FROM d JOIN w USING (r) LEFT JOIN repeated USING (r)
 ),
 lines AS (
-  SELECT r, source, t, trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT r, doc_id, source, t, trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
-  FROM (SELECT r, source, t, unnest(ls) AS x FROM base)
+  FROM (SELECT r, doc_id, source, t, unnest(ls) AS x FROM base)
 ),
 hosts AS (SELECT source, count(DISTINCT t) AS texts FROM d GROUP BY source),
 common AS (
-  SELECT l.source, line FROM (SELECT source, line, count(DISTINCT t) AS n FROM lines GROUP BY source, line) l
-  JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source WHERE n > 20 AND 100 * n > 5 * texts
+  SELECT l.source, line, CASE WHEN 100 * n <= 5 * texts THEN keeper END AS keeper
+  FROM (SELECT source, line, count(DISTINCT t) AS n, arg_min(t, coalesce(doc_id, 9223372036854775807)) AS keeper
+        FROM lines GROUP BY source, line) l
+  JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+  WHERE n > 20 AND (100 * n > 5 * texts OR len(string_split(line, ' ')) >= 10)
 ),
 removed AS (
   SELECT r, sum(len(string_split(l.line, ' '))) AS n FROM lines l
-  JOIN common c ON l.line = c.line AND l.source IS NOT DISTINCT FROM c.source GROUP BY r
+  JOIN common c ON l.line = c.line AND l.source IS NOT DISTINCT FROM c.source
+  WHERE c.keeper IS NULL OR l.t <> c.keeper GROUP BY r
 ),
 judged AS (
   SELECT b.*, coalesce(n, 0)::BIGINT AS n_removed_words,
@@ -178,7 +182,7 @@ FROM judged
 
 @query("op9_line_rules", RULES_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    return line_rules.verdicts(table(spark, folder, "documents")).drop("text_key", "host_key")
+    return line_rules.verdicts(table(spark, folder, "documents"), line_rules.RULES).drop("text_key", "host_key")
 
 
 @query("op10_log_bilinear")

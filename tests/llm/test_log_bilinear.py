@@ -42,6 +42,14 @@ def test_base_scores_and_counts(corpus, monkeypatch, head):
         assert row["held_out"] == (row["doc_id"] % 2 == 0)
 
 
+def test_words_of_one_frequency_fill_the_head(corpus, monkeypatch):
+    monkeypatch.setattr(log_bilinear, "HEAD", 200)
+    monkeypatch.setattr(log_bilinear, "STEPS", 5)
+    model, rows = scored(corpus, [f"word{n} other{n}" for n in range(1000)], ["word1 other2"])
+    assert len(model.head) == 200 and len(model.unit_words) == log_bilinear.WORDS
+    assert rows[0]["n_known"] == 3
+
+
 def test_probabilities_sum_to_one(corpus, monkeypatch):
     monkeypatch.setattr(log_bilinear, "STEPS", 50)
     learning = ["a b c d e f g"] * 3 + [prose(n, 60) for n in range(30)]

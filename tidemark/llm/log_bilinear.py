@@ -181,15 +181,24 @@ def learn(docs: DataFrame) -> tuple[Model, DataFrame]:
     counts = texts.mapInArrow(_counted, "word long, class long, n long")
     counts = stored(counts.groupBy("word").agg(F.min("class").alias("class"), F.sum("n").alias("n")))
     ends = docs.count()
-    # Counts on a logarithmic scale, in at most some hundred levels: the words of the highest are the head.
+    # Counts on a logarithmic scale, in at most some hundred levels: the words of the highest are the head,
+    # which is full wherever there are words enough.
     level = F.floor(F.log2("n") * 8)
     levels = sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect(), reverse=True)
-    least, taken = 1e9, 0
+    least, taken, parted = 1e9, 0, None
     for at, number in levels:
         if taken + number > HEAD:
+            parted = at, number
             break
         least, taken = at, taken + number
-    head = sorted(((-n, word, kind) for word, kind, n in counts.where(level >= least).collect()))
+    chosen = counts.where(level >= least).collect()
+    if parted is not None and taken < HEAD:
+        # Of a level that does not fit whole, the words with the least hashes: these are even, so few more are looked at.
+        wanted = HEAD - taken
+        edge = -(1 << 63) + int((1 << 64) * min(1.0, 2 * wanted / parted[1] + 1e-3)) - 1
+        own = counts.where((level == parted[0]) & (F.col("word") <= F.lit(edge))).orderBy("word").limit(wanted)
+        chosen += own.collect()
+    head = sorted((-n, word, kind) for word, kind, n in chosen)
     unit_words = np.sort(np.array([word for _, word, _ in head[:WORDS]], np.int64).view(np.uint64))
     kinds = {row["class"]: row for row in counts.groupBy("class").agg(
         F.sum("n").alias("n"), F.count("*").alias("words")).collect()}

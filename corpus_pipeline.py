@@ -18,9 +18,6 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
 
-#: Lines of ten words and more are passages: more than 20 texts of a host with one are too many, whatever its size.
-RULES = line_rules.Limits(long_line=10)
-
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold. The lexicon is learnt from the labelled ones
@@ -36,7 +33,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def within_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; null and empty texts have too few words and go."""
     batched(spark)
-    return line_rules.keep(docs, RULES)
+    return line_rules.keep(docs, line_rules.RULES)
 
 
 def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

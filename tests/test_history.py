@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import (
-    empty_dimension, evolve_dimension, master_stats, merge, sync_batch, sync_users,
+    current_versions, decide, empty_dimension, evolve_dimension, master_stats, merge, sent_keys, sync_batch, sync_users,
 )
-from tidemark.operators.keys import batch_facts, business_key, latest_per_key
+from tidemark.operators.keys import batch_facts, business_key, keyed, latest_per_key
 from tidemark.operators.marts import HIDDEN_COLUMNS, project_mart, visible_users
 
 FULL, INCREMENTAL = "full_snapshot", "incremental_upsert"
@@ -101,6 +102,52 @@ def test_random_trials(spark, seed):
         assert versions(run(spark, steps, plan)) == expected
 
 
+def writer(spark, folder):
+    """Stores rows in folders of their own, and remembers their columns."""
+    seen = []
+
+    def store(rows):
+        seen.append(rows.columns)
+        rows.write.parquet(f"{folder}/{len(seen)}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{len(seen)}")
+
+    return store, seen
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_decisions_that_are_stored_first(spark, folder, seed):
+    rng = random.Random(seed)
+    steps = [
+        (mode, policy, [(rng.choice([None, *range(7)]), rng.choice("ab")) for _ in range(rng.choice([0, 4, 10]))])
+        for mode, policy in [(FULL, CLOSE), (INCREMENTAL, CLOSE), (FULL, NEVER), (FULL, CLOSE)]
+    ]
+    store, seen = writer(spark, folder)
+    dimension = None
+    for number, (mode, policy, rows) in enumerate(steps):
+        staged = batch(spark, rows, number)
+        merged = merge(dimension, staged, business_key(staged), mode, policy, at(number), store=store)
+        lazy = merge(dimension, staged, business_key(staged), mode, policy, at(number))
+        assert merged.stats().first() == lazy.stats().first()
+        dimension = store(merged.dimension)
+        assert versions(dimension) == model(steps[:number + 1])
+    # Keys, hashes and rows only went through the join that decides.
+    narrow = {"_join_key", "_new_hash", "_row", "_closes", "_opens"}
+    assert all(set(columns) <= narrow for columns in seen if "_sk" not in columns)
+
+
+def test_no_payload_goes_through_the_outer_join(spark, folder):
+    staged = batch(spark, [(i, "a") for i in range(50)])
+    merge(None, staged, business_key(staged), FULL, CLOSE, at(0)).dimension.write.parquet(f"{folder}/d")
+    batch(spark, [(1, "b")], 2).write.parquet(f"{folder}/b")
+    delta = spark.read.parquet(f"{folder}/b")
+    decided = decide(current_versions(spark.read.parquet(f"{folder}/d")), sent_keys(keyed(delta, business_key(delta))), True)
+    plan = decided._jdf.queryExecution().executedPlan().toString()
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert "FullOuter" in plan or "full_outer" in plan.lower()
+    assert any(set(c.split(":")[0] for c in columns.split(",")) == {"_sk", "_business_key", "is_current", "_content_hash"} for columns in read)
+    assert "valid_from" not in plan and "_parent_key" not in plan
+
+
 def test_four_revisions(spark):
     one = [(1, "A v1"), (2, "B")]
     two = [(1, "A v2")]

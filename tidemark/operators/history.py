@@ -7,6 +7,7 @@ Versions are half-open, ``valid_from <= t < valid_to``. Closing sets ``valid_to`
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -23,6 +24,10 @@ from .keys import batch_facts, business_key, configured_key, keyed, latest_per_k
 
 KEEP, CLOSE, INSERT = "keep", "close", "insert"
 NULL_SALTS = 1024
+#: Decided keys up to which they are broadcast to the rows they pick.
+FEW = 200_000
+#: Writes rows and reads them back.
+Store = Callable[[DataFrame], DataFrame]
 
 _HISTORY_TYPES = {
     "_sk": T.StringType(),
@@ -51,10 +56,12 @@ def evolve_dimension(dimension: DataFrame, batch: DataFrame) -> DataFrame:
 
 @dataclass
 class Merge:
-    """Result of a merge. ``changes`` are the current rows and what happens to them."""
+    """Result of a merge. ``changes`` are the current rows and what happens to them, ``decided`` the keys
+    that change, where they were stored before any row was fetched."""
 
     history: DataFrame
     changes: DataFrame
+    decided: DataFrame | None = None
 
     @property
     def dimension(self) -> DataFrame:
@@ -63,6 +70,10 @@ class Merge:
 
     def stats(self) -> DataFrame:
         """One row with the numbers of inserted and closed versions."""
+        if self.decided is not None:
+            return self.decided.agg(
+                F.count_if("_opens").alias("inserted_count"), F.count_if("_closes").alias("closed_count")
+            )
         return self.changes.agg(
             F.count_if(F.col("_change") == INSERT).alias("inserted_count"),
             F.count_if(F.col("_change") == CLOSE).alias("closed_count"),
@@ -170,7 +181,7 @@ def _opened(rows: DataFrame, columns: list[str], types: Mapping[str, T.DataType]
 
 def merge_keyed(
     dimension: DataFrame | None, batch: DataFrame, load_mode: str, delete_policy: str,
-    effective_at: datetime, plan: str = "auto",
+    effective_at: datetime, plan: str = "auto", store: Store | None = None,
 ) -> Merge:
     """Merge a batch that carries ``_business_key`` and ``_content_hash`` into a dimension.
 
@@ -184,6 +195,9 @@ def merge_keyed(
     those keys pick: when the keys are under the session's broadcast threshold the planner ships them to
     the dimension, which then is not shuffled; beyond it, it sorts and merges.
     ``auto`` takes ``delta`` for incremental batches.
+
+    With ``store``, which writes rows and reads them back, the batch is looked at once for its keys and
+    hashes, these decide in one join what happens, and rows are fetched only for what closes or opens.
     """
     check_options(load_mode, delete_policy)
     at = F.lit(effective_at)
@@ -198,6 +212,13 @@ def merge_keyed(
         fresh = opened_versions(batch, columns, types, at)
         return Merge(fresh.select(*columns).where(F.lit(False)), fresh)
     current = current_versions(dimension)
+    if store is not None:
+        decided = store(decide(current, store(sent_keys(batch)), closes_missing))
+        few = decided.count() <= FEW
+        changes = after_closing(current, decided, columns, closes_missing, at, few).unionByName(
+            opened_versions(batch, columns, types, at, decided, few)
+        )
+        return Merge(dimension.where("NOT is_current"), changes, decided)
     if plan == "delta" or (plan == "auto" and load_mode == INCREMENTAL_UPSERT):
         changes = _delta_changes(current, batch, columns, types, closes_missing, at)
     else:
@@ -245,11 +266,11 @@ def _version(columns: list[str], closing: Column, effective_at: Column, value) -
 
 def merge(
     dimension: DataFrame | None, batch: DataFrame, key: Column, load_mode: str, delete_policy: str,
-    effective_at: datetime, hashed: Sequence[str] | None = None, plan: str = "auto",
+    effective_at: datetime, hashed: Sequence[str] | None = None, plan: str = "auto", store: Store | None = None,
 ) -> Merge:
     """Merge staged rows into a dimension; the last row of a key in the batch counts."""
     return merge_keyed(
-        dimension, keyed(batch, key, hashed), load_mode, delete_policy, effective_at, plan
+        dimension, keyed(batch, key, hashed), load_mode, delete_policy, effective_at, plan, store
     )
 
 
@@ -274,17 +295,23 @@ def keyed_tables(
 def sync_batch(
     tables: Mapping[str, DataFrame], dimensions: Mapping[str, DataFrame], load_mode: str,
     delete_policy: str, effective_at: datetime, key_fields: Sequence[str] = (), plan: str = "auto",
+    store: Store | None = None, facts: Callable[[str], tuple[bool, bool]] | None = None,
 ) -> dict[str, Merge]:
     """Merge every staged table of one batch into its dimension, by dimension name.
 
     ``tables`` holds the rows of the batch, with all columns the staged table has so far.
-    Dimensions that do not exist yet start empty.
+    Dimensions that do not exist yet start empty. With ``store`` the tables are merged at once.
     """
     check_options(load_mode, delete_policy)
-    return {
-        name: merge_keyed(dimensions.get(name), rows, load_mode, delete_policy, effective_at, plan)
-        for name, rows in keyed_tables(tables, key_fields).items()
-    }
+    batches = keyed_tables(tables, key_fields, facts)
+
+    def merged(name: str) -> Merge:
+        return merge_keyed(
+            dimensions.get(name), batches[name], load_mode, delete_policy, effective_at, plan, store
+        )
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return dict(zip(batches, pool.map(merged, batches)))
 
 
 # Key and compared columns of the two master dimensions.

@@ -9,6 +9,8 @@ from ...functions.variants import get, parse
 from ...operators.flatten import flatten
 from ...operators.watermark import high_water_mark, run_checkpoint
 from ...options import INCREMENTAL_UPSERT
+from ...session import scratch_folder
+from ...sources.arrays import scan_arrays
 from ...sources.pages import empty_payload
 from ...sources.payloads import unwrap
 from .registry import query, records, table
@@ -184,6 +186,27 @@ def flatten_empty_arrays(spark: SparkSession, folder: str) -> DataFrame:
     return root.unionByName(empty)
 
 
+@query("array_documents", """
+SELECT doc_id // 2000 AS part, row_number() OVER (PARTITION BY doc_id // 2000 ORDER BY doc_id) - 1 AS root_index,
+       doc_id, lang, source, sha256(text) AS text_sha256
+FROM documents""")
+def array_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents written as JSON arrays of up to 2,000, one file each, and read back record by record."""
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    arrays = documents.groupBy(F.floor(F.col("doc_id") / 2000).alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct(*documents.columns))).alias("list")
+    )
+    path = scratch_folder(spark)
+    arrays.select("part", F.to_json("list", {"ignoreNullFields": "false"}).alias("value")).write.partitionBy("part").text(path)
+    found = scan_arrays(spark, path)
+    field = lambda name, dtype: get(F.col("rec"), (name,), dtype)
+    return found.select(
+        F.regexp_extract("file", r"part=(-?\d+)", 1).cast("bigint").alias("part"), "root_index",
+        field("doc_id", "bigint").alias("doc_id"), field("lang", "string").alias("lang"), field("source", "string").alias("source"),
+        F.sha2(field("text", "string"), 256).alias("text_sha256"),
+    )
+
+
 @query("envelope_unwrap", """
 SELECT conv_id, turn // 20 AS chunk,
        CASE WHEN conv_id % 3 = 2 THEN 0

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..functions import names
 from ..operators.flatten import SPARK_TYPES, Flattened, Types
 from ..operators.history import (
-    after_closing, current_versions, decide, empty_dimension, evolve_dimension, opened_versions, sent_keys,
+    FEW, after_closing, current_versions, decide, empty_dimension, evolve_dimension, opened_versions, sent_keys,
     surrogate_key,
 )
 from ..operators.ledger import RUN_FIELDS, run_states, source_report
@@ -59,8 +59,6 @@ SOURCES = "name STRING, seq BIGINT, settings STRING"
 WRITERS = 4
 #: Current rows for which a dimension has one bucket, and the most buckets of a dimension.
 BUCKET_ROWS, MOST_BUCKETS = 500_000, 1 << 16
-#: Decided keys up to which they are broadcast to the rows they pick.
-FEW = 200_000
 #: Folder of closed rows, next to those of the buckets.
 CLOSED_BUCKET = -1
 #: Files of a log from which on they are written as one.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.variants import get, kind
+from .arrays import scan_arrays, starts_with_array
 
 # Envelope keys of paged sources, in the order they are looked up.
 COLLECTION_KEYS = ("results", "items", "records", "products", "data")
@@ -50,7 +51,9 @@ def unwrap(documents: DataFrame, body: str = "body") -> DataFrame:
 
 
 def scan_document(spark: SparkSession, path: str) -> DataFrame:
-    """Records of one JSON document. Larger extracts are landed as record files instead."""
+    """Records of one JSON document. An array may have any size; an envelope is one row of one task."""
+    if starts_with_array(spark, path):
+        return scan_arrays(spark, path).select("root_index", "rec")
     documents = spark.read.option("wholetext", True).text(path)
     return unwrap(documents.select(F.parse_json("value").alias("body")))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from pathlib import Path
 from urllib.parse import urljoin
 
 import pytest
@@ -17,7 +18,7 @@ from tidemark.operators.tables import dataset_stats
 from tidemark.operators.watermark import high_water_mark, run_checkpoint
 from tidemark.options import PipelineError, SourceConfig
 from tidemark.sources.landing import content_digest, landing_name, write_landing
-from tidemark.sources.manifests import read_manifests
+from tidemark.sources.manifests import pack_manifests, read_manifests
 from tidemark.sources.pages import (
     assemble_pages, empty_payload, envelope, next_links, page_chain_audit, pagination_complete, run_complete,
     run_problems,
@@ -204,6 +205,25 @@ def test_landing_and_manifest(spark, folder):
     assert landing_name(spark, "***").startswith("source_")
 
 
+def test_manifests_lie_packed_or_alone(spark, folder):
+    bodies = {"a": '{"source":\n "x", "byte_size": 3}', "b": "{", "c": "", "d": "[1", None: "{}"}
+    made = [(name and f"{name}.manifest.json", body) for name, body in bodies.items()]
+    pack_manifests(spark.createDataFrame(made, "manifest_filename STRING, value STRING"), folder)
+    # Many manifests are few files.
+    assert len(list(Path(folder, "_manifests").glob("*.parquet"))) <= spark.sparkContext.defaultParallelism
+
+    def found():
+        return {
+            row["manifest_filename"][0]: (row["source"], row["byte_size"], row["_corrupt"])
+            for row in read_manifests(spark, folder).collect()
+        }
+
+    packed = {"a": ("x", 3, None), "b": (None, None, "{"), "c": (None, None, ""), "d": (None, None, "[1")}
+    assert found() == packed
+    Path(folder, "e.manifest.json").write_text('{"source": "y"}')
+    assert found() == packed | {"e": ("y", None, None)}
+
+
 # ---- slices, synthetic data and ledgers ------------------------------------------------
 
 def test_list_page(spark):

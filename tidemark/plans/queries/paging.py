@@ -9,7 +9,7 @@ from ...functions.names import identifier_column, source_slug
 from ...functions.urls import is_allowed, read_allowed
 from ...functions.variants import get, parse
 from ...session import scratch_folder
-from ...sources.manifests import MANIFEST_SUFFIX, manifest_name, read_manifests, validate_manifests
+from ...sources.manifests import MANIFEST_SUFFIX, manifest_name, pack_manifests, read_manifests, validate_manifests
 from ...sources.masters import scan_masters
 from ...sources.pages import assemble_pages, envelope, page_chain_audit, pagination_complete, run_complete
 from ...sources.payloads import inspect_content
@@ -310,16 +310,15 @@ def manifests_read(spark: SparkSession, folder: str) -> DataFrame:
     """A manifest for each user's events, written and read back; every seventh is not JSON."""
     made = table(spark, folder, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     root = scratch_folder(spark)
-    made.select(
+    pack_manifests(made.select(
         F.concat(
             F.when(F.col("user_id") % 7 == 0, "{").otherwise(""),
             F.lit('{"source":"user '), "user_id", F.lit('","byte_size":'), "n", F.lit("}"),
         ).alias("value"),
-        F.concat(F.lit("feed_"), "user_id", F.lit(MANIFEST_SUFFIX)).alias("file"),
-    ).write.partitionBy("file").text(root)
+        F.concat(F.lit("feed_"), "user_id", F.lit(MANIFEST_SUFFIX)).alias("manifest_filename"),
+    ), root)
     return read_manifests(spark, root).select(
-        F.regexp_replace("manifest_filename", "^file=", "").alias("manifest_filename"),
-        F.col("_corrupt").isNotNull().alias("is_corrupt"), "source", "byte_size",
+        "manifest_filename", F.col("_corrupt").isNotNull().alias("is_corrupt"), "source", "byte_size",
     )
 
 

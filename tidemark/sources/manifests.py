@@ -29,15 +29,52 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("payload_filename", T.StringType()),
 ])
 MANIFEST_SUFFIX = ".manifest.json"
+#: Folder of manifests that lie many in a file, below the one of the others.
+PACKED = "_manifests"
 
 
 def manifest_name(filename: Column) -> Column:
     return F.concat(F.regexp_replace(filename, r"\.[^.]*$", ""), F.lit(MANIFEST_SUFFIX))
 
 
+def pack_manifests(manifests: DataFrame, path: str) -> None:
+    """Write manifests (``manifest_filename, value``) to a folder, many in a file.
+
+    A file of its own takes longer to make than a manifest to write, so a folder with very many holds them
+    packed; one without a name is none. :func:`read_manifests` reads both kinds.
+    """
+    named = manifests.select("manifest_filename", "value").where("manifest_filename IS NOT NULL")
+    named.write.mode("append").parquet(f"{path}/{PACKED}")
+
+
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """All manifests in a folder; one that is not JSON has ``_corrupt`` set."""
+    """All manifests in a folder, each a file or packed; one that is not JSON has ``_corrupt`` set."""
     schema = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PACKED}")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return _read_files(spark, path, schema)
+    packed = _read_packed(spark, path, schema)
+    alone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*{MANIFEST_SUFFIX}")
+    if not alone.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(alone):
+        return packed
+    return packed.unionByName(_read_files(spark, path, schema))
+
+
+def _read_packed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    rows = spark.read.schema("manifest_filename STRING, value STRING").parquet(f"{path}/{PACKED}")
+    parsed = rows.select(
+        "manifest_filename", "value",
+        F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("m"),
+    )
+    # A text without any JSON in it is parsed as nothing.
+    empty = F.when(F.col("m").isNull() | (F.trim("value") == ""), F.coalesce("value", F.lit("")))
+    return parsed.select(
+        *[F.col(f"m.{name}") for name in MANIFEST_SCHEMA.names],
+        F.coalesce("m._corrupt", empty).alias("_corrupt"), "manifest_filename",
+    )
+
+
+def _read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     manifests = (
         spark.read.schema(schema).option("multiLine", True)
         .option("columnNameOfCorruptRecord", "_corrupt").json(f"{path}/*{MANIFEST_SUFFIX}")

@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import (
-    current_versions, decide, empty_dimension, evolve_dimension, master_stats, merge, sent_keys, sync_batch, sync_users,
+    current_versions, decide, empty_dimension, evolve_dimension, master_stats, merge, packed_hash, sent_keys, sync_batch,
+    sync_users,
 )
 from tidemark.operators.keys import batch_facts, business_key, keyed, latest_per_key
 from tidemark.operators.marts import HIDDEN_COLUMNS, project_mart, visible_users
@@ -276,3 +277,29 @@ def test_masters_and_row_filter(spark):
     # A department that is closed, or unknown, sees nobody.
     assert visible_users(users, departments, "OPS").count() == 0
     assert not set(project_mart(users).columns) & set(HIDDEN_COLUMNS)
+
+
+def test_only_repeated_keys_are_ordered_and_few_bytes_move(spark, folder):
+    stored, _ = writer(spark, folder)
+    plans = []
+
+    def store(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return stored(frame)
+
+    def load(rows, **more):
+        plans.clear()
+        staged = batch(spark, rows)
+        return merge(None, staged, business_key(staged), "full_snapshot", "close_on_full_snapshot", at(0), **more).dimension
+
+    unique = [(key, f"v{key}") for key in range(20)]
+    # Keys that do not repeat: rows of a first load do not move at all.
+    assert versions(load(unique, store=store)) == versions(load(unique))
+    load(unique, store=store)
+    assert "Window" not in plans[-1] and "Exchange" not in plans[-1]
+    # Of keys that repeat, and of rows without a key, the last row counts, as without a store.
+    repeated = unique + [(3, "x"), (None, "a"), (3, "y"), (None, "b")]
+    assert versions(load(repeated, store=store)) == versions(load(repeated))
+    assert (3, "y", 0, None, True) in versions(load(repeated, store=store))
+    hashes = spark.createDataFrame([("0123456789abcdef" * 2,), ("A" * 32,), ("",)], "h STRING")
+    assert [len(row[0]) for row in hashes.select(packed_hash(F.col("h"))).collect()] == [16, 32, 0]

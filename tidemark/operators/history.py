@@ -20,7 +20,7 @@ from ..functions.values import value_text
 from ..options import (
     CLOSE_ON_FULL_SNAPSHOT, FULL_SNAPSHOT, INCREMENTAL_UPSERT, check_options,
 )
-from .keys import batch_facts, business_key, configured_key, keyed, latest_per_key
+from .keys import batch_facts, business_key, configured_key, data_columns, keyed, latest_per_key, row_hash
 
 KEEP, CLOSE, INSERT = "keep", "close", "insert"
 NULL_SALTS = 1024
@@ -86,17 +86,60 @@ def _null_safe_key(key: Column, salt: Column | None = None) -> Column:
     return F.when(key.isNotNull(), F.concat(F.lit("k"), key)).otherwise(spread)
 
 
-def sent_keys(batch: DataFrame) -> DataFrame:
+def packed_hash(digest: Column) -> Column:
+    """A content hash as bytes: half as long where it is 32 hexadecimal digits."""
+    digits = F.unhex(digest)
+    is_digits = (F.length(digest) == 32) & (F.lower(F.hex(digits)) == digest)
+    return F.when(is_digits, digits).otherwise(F.encode(digest, "UTF-8"))
+
+
+@dataclass
+class Repeats:
+    """Hashes (``_repeated``) of the join keys that a batch has more than once, stored, and their number."""
+
+    hashes: DataFrame
+    count: int
+
+
+def repeats(batch: DataFrame, store: Store) -> Repeats | None:
+    """Which keys of a keyed batch repeat; only hashes move. None for a batch whose key is unique."""
+    if "_row_index" not in batch.columns:
+        return None
+    key = F.xxhash64(_null_safe_key(F.col("_business_key"))).alias("_join_key")
+    hashes = store(batch.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_join_key"))
+    return Repeats(hashes.select(F.col("_join_key").alias("_repeated")), hashes.count())
+
+
+def _latest(rows: DataFrame, repeated: Repeats | None) -> DataFrame:
+    """Rows that count, of rows with ``_join_key``: all, or the last of each key where a batch may repeat keys.
+
+    Where few keys repeat, only their rows are ordered; all others stay where they are.
+    """
+    if "_row_index" not in rows.columns:
+        return rows
+    if repeated is None or repeated.count > FEW:
+        return latest_per_key(rows, "_join_key")
+    if repeated.count == 0:
+        return rows
+    hashes, same = F.broadcast(repeated.hashes), F.xxhash64("_join_key") == F.col("_repeated")
+    return rows.join(hashes, same, "left_anti").unionByName(
+        latest_per_key(rows.join(hashes, same, "left_semi"), "_join_key")
+    )
+
+
+def sent_keys(batch: DataFrame, repeated: Repeats | None = None) -> DataFrame:
     """What a merge needs to know of a keyed batch before any wide row moves.
 
     ``_join_key``, ``_new_hash`` and ``_row`` (which row it is) of the row that counts for each key. A batch
     with ``_row_index`` may repeat keys and the last row counts; one without it comes from a table whose
     key is unique.
     """
-    narrow = batch.withColumn("_join_key", _null_safe_key(F.col("_business_key")))
+    narrow = batch.withColumns({
+        "_join_key": _null_safe_key(F.col("_business_key")), "_new_hash": packed_hash(F.col("_content_hash")),
+    })
     if "_row_index" in batch.columns:
-        narrow = latest_per_key(narrow.select("_join_key", "_content_hash", "_row_index", "_row_id"), "_join_key")
-    return narrow.select("_join_key", F.col("_content_hash").alias("_new_hash"), _row_of(batch).alias("_row"))
+        narrow = _latest(narrow.select("_join_key", "_new_hash", "_row_index", "_row_id"), repeated)
+    return narrow.select("_join_key", "_new_hash", _row_of(batch).alias("_row"))
 
 
 def _row_of(batch: DataFrame) -> Column:
@@ -114,7 +157,7 @@ def decide(
 ) -> DataFrame:
     """Keys that change: ``_join_key``, ``_row`` of the batch, ``_closes``, ``_opens``, and carried columns
     of the current rows and of what was sent. Only keys and hashes go through this join."""
-    held = current.select("_join_key", F.col("_content_hash").alias("_old_hash"), *carried)
+    held = current.select("_join_key", packed_hash(F.col("_content_hash")).alias("_old_hash"), *carried)
     # Without closing what is missing, only keys that were sent can change.
     pairs = held.join(sent, "_join_key", "full_outer" if closes_missing else "right_outer")
     differs = ~F.col("_old_hash").eqNullSafe(F.col("_new_hash"))
@@ -135,22 +178,34 @@ def after_closing(
     # NULL keys match nothing: they are closed if missing ones are.
     closing = decided.where(F.col("_closes") & F.col("_join_key").startswith("k"))
     closing = closing.select("_join_key", F.lit(True).alias("_closing"))
-    joined = current.join(F.broadcast(closing) if few else closing, "_join_key", "left")
-    gone = F.when(F.col("_business_key").isNull(), F.lit(closes_missing)).otherwise(F.coalesce("_closing", F.lit(False)))
-    return joined.select(*_version(columns, gone, effective_at, lambda name: F.col(f"`{name}`")))
+    # The join key says what the business key is, so that one stays behind.
+    keyless = F.col("_join_key").startswith("n")
+    joined = current.drop("_business_key").join(F.broadcast(closing) if few else closing, "_join_key", "left")
+    gone = F.when(keyless, F.lit(closes_missing)).otherwise(F.coalesce("_closing", F.lit(False)))
+    held = joined.withColumn("_business_key", F.when(~keyless, F.substr("_join_key", F.lit(2))))
+    return held.select(*_version(columns, gone, effective_at, lambda name: F.col(f"`{name}`")))
 
 
 def opened_versions(
     batch: DataFrame, columns: list[str], types: Mapping[str, T.DataType], effective_at: Column,
-    decided: DataFrame | None = None, few: bool = False,
+    decided: DataFrame | None = None, few: bool = False, repeated: Repeats | None = None,
+    hashed: Sequence[str] | None = None,
 ) -> DataFrame:
-    """New versions of the rows of a keyed batch that open one; without decisions of all its latest rows."""
+    """New versions of the rows of a keyed batch that open one; without decisions of all its latest rows.
+
+    With ``hashed``, the columns its hash is over, the hash is taken of the rows that count, not moved.
+    """
     if decided is not None:
         rows = decided.where("_opens").select(F.col("_row").alias("_opening"))
         chosen = batch.join(F.broadcast(rows) if few else rows, _row_of(batch) == F.col("_opening"), "left_semi")
     elif "_row_index" in batch.columns:
         keyed_rows = batch.withColumn("_join_key", _null_safe_key(F.col("_business_key")))
-        chosen = latest_per_key(keyed_rows, "_join_key")
+        if hashed is None:
+            chosen = _latest(keyed_rows, repeated)
+        else:
+            moved = _latest(keyed_rows.drop("_business_key", "_content_hash"), repeated)
+            key = F.when(F.col("_join_key").startswith("k"), F.substr("_join_key", F.lit(2)))
+            chosen = moved.withColumns({"_business_key": key, "_content_hash": row_hash(moved, hashed)})
     else:
         chosen = batch
     return _opened(chosen, columns, types, effective_at).select(*columns, F.lit(INSERT).alias("_change"))
@@ -181,7 +236,7 @@ def _opened(rows: DataFrame, columns: list[str], types: Mapping[str, T.DataType]
 
 def merge_keyed(
     dimension: DataFrame | None, batch: DataFrame, load_mode: str, delete_policy: str,
-    effective_at: datetime, plan: str = "auto", store: Store | None = None,
+    effective_at: datetime, plan: str = "auto", store: Store | None = None, hashed: Sequence[str] | None = None,
 ) -> Merge:
     """Merge a batch that carries ``_business_key`` and ``_content_hash`` into a dimension.
 
@@ -196,8 +251,10 @@ def merge_keyed(
     the dimension, which then is not shuffled; beyond it, it sorts and merges.
     ``auto`` takes ``delta`` for incremental batches.
 
-    With ``store``, which writes rows and reads them back, the batch is looked at once for its keys and
-    hashes, these decide in one join what happens, and rows are fetched only for what closes or opens.
+    With ``store``, which writes rows and reads them back, the batch is looked at for keys that repeat, and
+    only their rows are ordered; keys and hashes decide in one join what happens, and rows are fetched only for
+    what closes or opens. A first load is stored too. ``hashed`` names the columns the hash is over; rows of a
+    first load then move without it.
     """
     check_options(load_mode, delete_policy)
     at = F.lit(effective_at)
@@ -209,14 +266,18 @@ def merge_keyed(
     types = {item.name: item.dataType for item in dimension.schema}
     if is_new:
         # A filter that is never true is planned away, so a first load reads the batch once.
-        fresh = opened_versions(batch, columns, types, at)
+        found = None if store is None else repeats(batch, store)
+        fresh = opened_versions(batch, columns, types, at, repeated=found, hashed=hashed)
+        fresh = fresh if store is None else store(fresh)
         return Merge(fresh.select(*columns).where(F.lit(False)), fresh)
     current = current_versions(dimension)
     if store is not None:
-        decided = store(decide(current, store(sent_keys(batch)), closes_missing))
-        few = decided.count() <= FEW
-        changes = after_closing(current, decided, columns, closes_missing, at, few).unionByName(
-            opened_versions(batch, columns, types, at, decided, few)
+        decided = store(decide(current, sent_keys(batch, repeats(batch, store)), closes_missing))
+        closed, opened = decided.agg(
+            *[F.count_if(flag).alias(flag) for flag in ("_closes", "_opens")]
+        ).first()
+        changes = after_closing(current, decided, columns, closes_missing, at, closed <= FEW).unionByName(
+            opened_versions(batch, columns, types, at, decided, opened <= FEW)
         )
         return Merge(dimension.where("NOT is_current"), changes, decided)
     if plan == "delta" or (plan == "auto" and load_mode == INCREMENTAL_UPSERT):
@@ -269,8 +330,9 @@ def merge(
     effective_at: datetime, hashed: Sequence[str] | None = None, plan: str = "auto", store: Store | None = None,
 ) -> Merge:
     """Merge staged rows into a dimension; the last row of a key in the batch counts."""
+    columns = data_columns(batch) if hashed is None else hashed
     return merge_keyed(
-        dimension, keyed(batch, key, hashed), load_mode, delete_policy, effective_at, plan, store
+        dimension, keyed(batch, key, columns), load_mode, delete_policy, effective_at, plan, store, columns
     )
 
 

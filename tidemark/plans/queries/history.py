@@ -149,7 +149,7 @@ def scd2_composite_key(spark: SparkSession, folder: str) -> DataFrame:
     """A two-column key over lines; one line number disappears from the second snapshot."""
     lines = staged(table(spark, folder, "lineitem"), 1, "l_partkey")
     key = business_key(lines, ["l_orderkey", "l_linenumber"])
-    first = written(merge(None, lines, key, FULL, CLOSE, T0).dimension)
+    first = merge(None, lines, key, FULL, CLOSE, T0, store=written).dimension
     second = merge(first, lines.where("l_linenumber <> 7"), key, FULL, CLOSE, T1, store=written)
     return second.dimension.select(
         F.col("_business_key").alias("business_key"), day("valid_from"), day("valid_to"), "is_current",
@@ -270,8 +270,8 @@ def sync_orders(spark: SparkSession, folder: str) -> DataFrame:
     first = stored(flatten(written(order_documents(orders)), "orders", 1))
     again = orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     second = stored(flatten(written(order_documents(again)), "orders", 2, first.types))
-    loaded = sync_batch(first.tables, {}, FULL, CLOSE, T0)
-    held = {name: written(merged.dimension) for name, merged in loaded.items()}
+    loaded = sync_batch(first.tables, {}, FULL, CLOSE, T0, store=written)
+    held = {name: merged.dimension for name, merged in loaded.items()}
     updated = sync_batch(second.tables, held, INCREMENTAL, CLOSE, T1, store=written)
     parts = [
         merged.stats().select(

@@ -452,7 +452,7 @@ class Warehouse:
         key = F.when(F.col("_join_key").startswith("k"), F.substr("_join_key", F.lit(2)))
         place = self._bucket(buckets, key, surrogate_key(key, now))
         sent_keys(batch).withColumn("_sent_bucket", place).write.parquet(f"{work}/sent")
-        sent = self.spark.read.schema("_join_key STRING, _new_hash STRING, _row STRING, _sent_bucket INT").parquet(f"{work}/sent")
+        sent = self.spark.read.schema("_join_key STRING, _new_hash BINARY, _row STRING, _sent_bucket INT").parquet(f"{work}/sent")
         met = None if closes_missing else [row[0] for row in sent.select("_sent_bucket").distinct().collect()]
         current = current_versions(self.current(name, state, met))
         opening_bucket = F.coalesce("_bucket", "_sent_bucket").alias("_bucket")

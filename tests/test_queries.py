@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tidemark.plans.queries import QUERIES
+from tidemark.plans.queries.documents import order_documents
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = (
@@ -47,3 +48,13 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry_has_rows(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_documents_are_made_in_many_tasks_whatever_the_files_are(spark):
+    orders = spark.range(1).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "1.5D AS o_totalprice",
+        "TIMESTAMP '2024-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    )
+    plan = order_documents(orders.coalesce(1))._jdf.queryExecution().optimizedPlan().toString()
+    # The rows are dealt by their key below the projection that makes the documents.
+    assert plan.lstrip().startswith("Project") and "RepartitionByExpression [o_orderkey" in plan, plan

@@ -18,7 +18,8 @@ from .registry import query, records, table
 
 def order_documents(orders: DataFrame) -> DataFrame:
     """Orders as documents with a nested object, an array of texts and one of objects."""
-    return records(orders, F.col("o_orderkey"), F.struct(
+    # Making documents takes long for few bytes, so rows are spread whatever files they come from.
+    return records(orders.repartition("o_orderkey"), F.col("o_orderkey"), F.struct(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("Status"),
         F.col("o_totalprice").alias("total price"),
         F.struct(

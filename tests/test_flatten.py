@@ -220,3 +220,17 @@ def test_empty_arrays_beside_all_columns_of_all_documents(spark):
     found = tables["sparse"].select("doc_id", "text", "lang", "source", "n_chars").collect()
     assert sorted(tuple(row) for row in found) == made
     assert tables["sparse_none"].count() == 0
+
+
+def test_plain_text_is_read_as_it_is(spark):
+    items = [{"t": "a", "m": "b", "n": 1}, {"t": None, "m": 2.5, "n": None}, {"m": {"x": "y"}}, {"t": "", "m": [1], "n": 3}]
+    flat = flatten(records(spark, items), "s", 1).tables["s"]
+    assert rows(flat, "t", "m", "m_x", "n") == [("a", "b", None, 1), (None, "2.5", None, None), (None, None, "y", None), ("", None, None, 3)]
+    # Text and nulls need no look at the kind of each value; a text in a column of numbers does.
+    plan = flat.select("t")._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "schemaofvariant" not in plan and "schema_of_variant" not in plan
+    typed = flatten(records(spark, [{"t": "7"}, {"t": None}]), "s", 1, {"s": {"t": "bigint"}})
+    assert rows(typed.tables["s"], "t") == [(7,), (None,)]
+    # Records that are text, and keys that collide.
+    assert rows(flatten(records(spark, ["\"a\"", "null"]), "s", 1).tables["s"], "value") == [("a",), (None,)]
+    assert rows(flatten(records(spark, [{"A b": "x"}, {"a_b": "y"}]), "s", 1).tables["s"], "a_b") == [("x",), ("y",)]

@@ -99,6 +99,16 @@ def test_instants(spark, text, expected):
     assert row[0] == expected
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("2026-01-01T11:30:00.123456789Z", "2026-01-01T11:30:00.123456+00:00"), ("2026-01-01 11:30:00-02:30", "2026-01-01T14:00:00+00:00"),
+    ("2026-01-01T11:30:00,5Z", "2026-01-01T11:30:00.500000+00:00"), ("2026-02-30T00:00:00Z", None), ("2026-01-01T25:00:00Z", None),
+    (" 2026-01-01T11:30:00Z", None), ("2026-01-01T11:30:00Z ", None), ("2026-01-01T11:30:00Z\n", "2026-01-01T11:30:00+00:00"), ("2026-01-01T11:30:00+25:00", None),
+])
+def test_instants_that_are_cast_as_they_stand(spark, text, expected):
+    row = spark.createDataFrame([(text,)], "t STRING").select(iso_text(parse_instant(F.col("t")))).first()
+    assert row[0] == expected
+
+
 def test_instants_do_not_depend_on_the_session_zone(spark):
     rows = spark.createDataFrame([("2026-01-01T11:30:00",), ("20260101T113000",)], "t STRING")
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from tidemark import PipelineError, SourceConfig, Warehouse, run_source
 from tidemark.functions.variants import parse
+from tidemark.operators import watermark
 from tidemark.operators.ledger import run_states
 from tidemark.plans import run as runs
 from tidemark.sources import landing
+from tidemark.sources import pages as page_rules
 from tidemark.sources.manifests import MANIFEST_SCHEMA
 from tidemark.streaming.landings import ingest_landings
 
@@ -406,3 +408,57 @@ def test_long_keys_that_agree_in_their_beginning(spark, warehouse, folder):
     go(warehouse, source, folder, [{"id": 1, f"{key}a": 1, f"{key}b": 2}])
     row = warehouse.mart("long").first().asDict()
     assert (row[f"{key}a"], row[f"{key}b"]) == (1, 2)
+
+
+def test_new_keys_are_neither_ordered_nor_joined(spark, folder, monkeypatch):
+    plans = []
+
+    class Watched(Warehouse):
+        def _write_version(self, name, version, rows):
+            plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+            super()._write_version(name, version, rows)
+
+    warehouse = Watched(spark, f"{folder}/warehouse")
+    source = SourceConfig("s", "https://a.test/s", INCREMENTAL, watermark_field="", key_fields=("k",))
+    go(warehouse, source, folder, [{"k": n, "v": "a"} for n in range(6)])
+    go(warehouse, source, folder, [{"k": n, "v": "b"} for n in range(6, 9)], day=1)
+    assert "Window" not in plans[0] and "LeftSemi" not in plans[1]
+    # Of keys that repeat, and of rows without a key, the last row counts; what is there already is no new version.
+    result, _ = go(warehouse, source, folder, [
+        {"k": 9, "v": "c"}, {"k": 9, "v": "d"}, {"k": 0, "v": "a"}, {"k": 7, "v": "e"}, {"k": None, "v": "x"}, {"k": None, "v": "y"},
+    ], day=2)
+    assert (result.dimensions["dim_s"]["inserted_rows"], result.dimensions["dim_s"]["closed_rows"]) == (3, 1)
+    found = sorted(((r["k"], r["v"], r["is_current"]) for r in warehouse.dimension("dim_s").collect()), key=repr)
+    assert found == sorted(
+        [(n, "a", True) for n in range(6)] + [(6, "b", True), (7, "b", False), (7, "e", True), (8, "b", True), (9, "d", True), (None, "y", True)],
+        key=repr,
+    )
+    # New keys beside one that stays as it is: nothing closes, and only the new ones open.
+    result, _ = go(warehouse, source, folder, [{"k": 0, "v": "a"}, {"k": 20, "v": "n"}], day=3)
+    assert (result.dimensions["dim_s"]["inserted_rows"], result.dimensions["dim_s"]["closed_rows"]) == (1, 0)
+    assert warehouse.dimension("dim_s").count() == 13 and not os.listdir(f"{warehouse.root}/work")
+
+
+def test_repeated_keys_of_a_first_load(spark, warehouse, folder):
+    source = SourceConfig("s", "https://a.test/s", INCREMENTAL, watermark_field="", key_fields=("k",))
+    items = [{"k": n % 4, "v": f"{n}"} for n in range(9)] + [{"k": None, "v": "x"}, {"k": None, "v": "y"}, {"k": 8, "v": "z"}]
+    result, _ = go(warehouse, source, folder, items)
+    assert result.tables == {"s": 12} and result.dimensions["dim_s"]["inserted_rows"] == 6
+    found = {(r["k"], r["v"]) for r in warehouse.mart("s").collect()}
+    assert found == {(0, "8"), (1, "5"), (2, "6"), (3, "7"), (8, "z"), (None, "y")}
+    assert not os.listdir(f"{warehouse.root}/work")
+
+
+def test_structure_of_pages_is_found_once(spark, warehouse, folder, monkeypatch):
+    for module in (page_rules, watermark):
+        monkeypatch.setattr(module, "discover", None)
+    source = SourceConfig("Feed", "https://a.test/s", INCREMENTAL)
+    bodies = [{"items": [row(1, "a", 9)], "has_more": True}, {"items": [row(2, "b", 10)], "has_more": False}]
+    request = runs.land_pages(warehouse, pages(spark, *bodies), source, 1, "full_snapshot", None, f"{folder}/landing")
+    assert request.checkpoint_after == "2026-01-01T10:00:00+00:00"
+    # One empty page keeps the checkpoint.
+    for number, empty in enumerate(([{"items": []}], [{"items": [], "has_more": False}]), start=2):
+        request = runs.land_pages(
+            warehouse, pages(spark, *empty), source, number, INCREMENTAL, "2026-01-01T10:00:00+00:00", f"{folder}/landing"
+        )
+        assert request.checkpoint_after == "2026-01-01T10:00:00+00:00"

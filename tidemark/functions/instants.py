@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 _EXTENDED = (
     r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
 )
+# What a cast reads as it stands; the other rules need several expressions for each value.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})\z"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _BASIC = r"^(\d{4})-?(\d{2})-?(\d{2})[T ]?(\d{2})?:?(\d{2})?:?(\d{2})?([.,]\d+)?(Z|[+-]\d{2}:?\d{2})?$"
 
@@ -33,7 +35,8 @@ def parse_instant(text: Column) -> Column:
         F.replace(piece(7), F.lit(","), F.lit(".")), zone,
     )
     return (
-        F.when(text.rlike(_EXTENDED), F.concat(local, zone).try_cast("timestamp"))
+        F.when(text.rlike(_PLAIN), text.try_cast("timestamp"))
+        .when(text.rlike(_EXTENDED), F.concat(local, zone).try_cast("timestamp"))
         .when(text.rlike(_DATE), F.concat(text, F.lit("T00:00:00Z")).try_cast("timestamp"))
         .when(text.rlike(_BASIC), basic.try_cast("timestamp"))
     )

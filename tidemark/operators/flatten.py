@@ -185,6 +185,12 @@ def first_seen_types(
     return types
 
 
+def _plain_text(feed: Feed, column: str, dtype: str) -> Cell | None:
+    """The cell of a text column whose values are all text or null, so that they are read as they are."""
+    cells = feed.columns.get(column, [])
+    return cells[0] if dtype == "text" and len(cells) == 1 and cells[0].holds and cells[0].text else None
+
+
 def typed_cell(value: Column, schema: Column, dtype: str, where: str) -> Column:
     """A cell as the type of its column; a value that does not fit fails the job."""
     text = get(value, (), "string")
@@ -270,12 +276,13 @@ def _feed_rows(records: DataFrame, feed: Feed, batch_id: int) -> DataFrame:
 
 
 def _cells(rows: DataFrame, feed: Feed, columns: dict[str, str]) -> DataFrame:
-    """Add ``cell c`` and its variant schema ``schema c`` for every column the feed has.
+    """Add ``cell c`` and its variant schema ``schema c`` for every column the feed has, but for plain text.
 
     Values and schemas are separate projections, so each is computed once per row.
     """
     sources = {
-        column: [cell for cell in feed.columns.get(column, []) if cell.holds] for column in columns
+        column: [cell for cell in feed.columns.get(column, []) if cell.holds]
+        for column, dtype in columns.items() if _plain_text(feed, column, dtype) is None
     }
     sources = {column: cells for column, cells in sources.items() if cells}
     values = {}
@@ -311,12 +318,14 @@ def table_rows(
     for feed in table.feeds:
         rows = _cells(_feed_rows(records, feed, batch_id), feed, columns)
         held = set(rows.columns)
+        plain = {c: _plain_text(feed, c, dtype) for c, dtype in columns.items()}
         parts.append(rows.select(
             "_row_id", F.lit(batch_id).cast("bigint").alias("_source_batch_id"),
             "_parent_id", "_parent_key", "_row_index",
             *[
                 (
-                    typed_cell(
+                    get(F.col("v"), plain[c].path, "string") if plain[c] is not None
+                    else typed_cell(
                         F.col(f"`cell {c}`"), F.col(f"`schema {c}`"), dtype, f"{table.name}.{c}"
                     ) if f"cell {c}" in held else F.lit(None)
                 ).cast(SPARK_TYPES[dtype]).alias(c)

@@ -13,6 +13,7 @@ from ..functions.names import check_root_table, dimension_name, identifier
 from ..operators.flatten import flatten
 from ..operators.history import keyed_master, keyed_tables
 from ..operators.reconcile import check_arrived
+from ..operators.shape import discover
 from ..operators.watermark import run_checkpoint
 from ..options import INCREMENTAL_UPSERT, PipelineError, SourceConfig
 from ..sources.landing import inspect_landing, read_manifest, write_landing
@@ -71,7 +72,9 @@ def land_pages(
     broken = page_chain_audit(pages).where("problem IS NOT NULL").orderBy("page_no").first()
     if broken is not None:
         raise PipelineError("extract", f"page {broken['page_no']}: {broken['problem']}")
-    state = run_complete(pages).first()
+    # Bodies are large: their structure is found once, for all that looks into them.
+    shape = discover(pages, "body")
+    state = run_complete(pages, shape).first()
     if state is None or not state["pagination_complete"]:
         raise PipelineError("extract", "the extract lacks pages that its source still has")
     try:
@@ -80,13 +83,11 @@ def land_pages(
         raise PipelineError("extract", str(error)) from error
     watermark = source.watermark_field.strip()
     required = source.load_mode == INCREMENTAL_UPSERT and bool(watermark)
-    one_empty = pages.agg(
-        (F.count(F.lit(1)) == 1) & F.bool_and(empty_payload(F.col("body")))
-    ).first()[0]
+    one_empty = pages.count() == 1 and pages.select(empty_payload(F.col("body"))).first()[0]
     try:
         checkpoint_after = run_checkpoint(
             records, watermark, load_mode, checkpoint_before, required, bool(one_empty),
-            marks=pages.select(F.col("body").alias("rec")),
+            shape=shape, marks=pages.select(F.col("body").alias("rec")),
         )
     except ValueError as error:
         raise PipelineError("extract", str(error)) from error

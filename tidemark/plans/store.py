@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from ..functions import names
 from ..operators.flatten import SPARK_TYPES, Flattened, Types
 from ..operators.history import (
-    FEW, after_closing, current_versions, decide, empty_dimension, evolve_dimension, opened_versions, sent_keys,
-    surrogate_key,
+    FEW, Store, after_closing, current_versions, decide, empty_dimension, evolve_dimension, opened_versions,
+    repeats, sent_keys, surrogate_key,
 )
 from ..operators.ledger import RUN_FIELDS, run_states, source_report
 from ..operators.marts import project_mart
@@ -421,8 +421,12 @@ class Warehouse:
         schema = empty_dimension(self.spark, rows).schema
         types = {item.name: item.dataType for item in schema}
         buckets = self._buckets_for(rows.count())
-        opened = opened_versions(batch, schema.names, types, F.lit(at)).drop("_change")
+        work = self._work_path(name)
+        # Rows whose key is alone in the batch are not ordered: they move once, to their bucket.
+        found = repeats(batch, self._stored_at(f"{work}/repeated"))
+        opened = opened_versions(batch, schema.names, types, F.lit(at), repeated=found).drop("_change")
         self._write_version(name, 1, opened.withColumn("_bucket", self._bucket(buckets)))
+        remove_path(self.spark, work)
         state = {"version": 1, "columns": schema.json(), "buckets": buckets, "layout": 1}
         written = self._count_written(name, 1)
         total = sum(written.values())
@@ -431,6 +435,17 @@ class Warehouse:
             "written": written, "is_new": True,
         }
 
+    def _work_path(self, name: str) -> str:
+        return self._path("work", f"{name}-{uuid.uuid4().hex}")
+
+    def _stored_at(self, path: str) -> Store:
+        """What writes rows to a path and reads them back."""
+        def store(rows: DataFrame) -> DataFrame:
+            rows.write.parquet(path)
+            return self.spark.read.schema(rows.schema).parquet(path)
+
+        return store
+
     def _count_written(self, name: str, version: int) -> dict[int, int]:
         """Current rows of each bucket that a version wrote; Parquet footers have the numbers."""
         path = self._rows_path(name, version, True)
@@ -441,7 +456,7 @@ class Warehouse:
 
     def _next_version(self, name: str, batch: DataFrame, state: dict, closes_missing: bool, at: datetime) -> dict:
         version, buckets = state["version"] + 1, state["buckets"]
-        work = self._path("work", f"{name}-{uuid.uuid4().hex}")
+        work = self._work_path(name)
         now = F.lit(at)
         dimension = empty_dimension(self.spark, batch.drop("_business_key", "_content_hash"))
         schema = evolve_dimension(
@@ -451,7 +466,8 @@ class Warehouse:
         # Keys and hashes of the batch are computed once.
         key = F.when(F.col("_join_key").startswith("k"), F.substr("_join_key", F.lit(2)))
         place = self._bucket(buckets, key, surrogate_key(key, now))
-        sent_keys(batch).withColumn("_sent_bucket", place).write.parquet(f"{work}/sent")
+        found = repeats(batch, self._stored_at(f"{work}/repeated"))
+        sent_keys(batch, found).withColumn("_sent_bucket", place).write.parquet(f"{work}/sent")
         sent = self.spark.read.schema("_join_key STRING, _new_hash BINARY, _row STRING, _sent_bucket INT").parquet(f"{work}/sent")
         met = None if closes_missing else [row[0] for row in sent.select("_sent_bucket").distinct().collect()]
         current = current_versions(self.current(name, state, met))
@@ -481,10 +497,15 @@ class Warehouse:
         if changed:
             # Outgrown buckets are written anew, all of them, and then are more.
             outgrown = total > 2 * buckets * self.bucket_rows and buckets < MOST_BUCKETS
-            few = opened + closed <= FEW
+            # Where nothing closes, what opens had no current row; as many as were sent means all of them.
+            every = closed == 0 and (found is None or found.count == 0) and opened == batch.count()
             own = evolve_dimension(self.current(name, state, None if outgrown else changed), dimension)
-            rows = after_closing(current_versions(own), decided, [*schema.names, "_bucket"], closes_missing, now, few)
-            new = opened_versions(batch, schema.names, types, now, decided, few)
+            rows = after_closing(
+                current_versions(own), decided, [*schema.names, "_bucket"], closes_missing, now, closed <= FEW
+            )
+            new = opened_versions(
+                batch, schema.names, types, now, None if every else decided, opened <= FEW, repeated=found
+            )
             if outgrown:
                 entry["buckets"], entry["layout"] = self._buckets_for(total), version
             place = self._bucket(entry["buckets"])

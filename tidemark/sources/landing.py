@@ -18,20 +18,24 @@ _PARTS = tuple(f"part_{n}" for n in range(4))
 
 
 def _hashed(records: DataFrame) -> DataFrame:
-    """Records with the size of their JSON and a hash of it and the position."""
+    """Records with the size of their JSON and the parts of a hash of it and the position.
+
+    The parts are columns: an aggregate would compute each of them more than once for a record.
+    """
     sized = records.select("root_index", "rec", F.to_json("rec").alias("_json"))
     text = F.concat_ws(":", F.col("root_index").cast("string"), F.col("_json"))
-    return sized.select(
+    hashed = sized.select(
         "root_index", "rec", F.octet_length("_json").alias("_size"), F.sha2(text.cast("binary"), 256).alias("_digest")
     )
+    return hashed.select("root_index", "rec", "_size", *[
+        F.conv(F.substring("_digest", 1 + 15 * n, 15), 16, 10).cast("bigint").alias(name)
+        for n, name in enumerate(_PARTS)
+    ])
 
 
 def _totals() -> list[Column]:
     """Aggregates over the hashed records: the hashes are combined by exclusive or, so in any order."""
-    parts = [
-        F.bit_xor(F.conv(F.substring("_digest", 1 + 15 * n, 15), 16, 10).cast("bigint")).alias(name)
-        for n, name in enumerate(_PARTS)
-    ]
+    parts = [F.bit_xor(name).alias(name) for name in _PARTS]
     return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_size"), F.lit(0)).alias("bytes"), *parts]
 
 
